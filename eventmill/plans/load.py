@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -11,8 +12,21 @@ from pyspark.sql import functions as F
 
 from eventmill.errors import StragglerError
 from eventmill.operators.gate import belongs_to_land_date
-from eventmill.sinks.tables import DEFAULT_RAW_TABLE, REJECTS_SUFFIX, drop_days, ensure_raw_table, overwrite_days
-from eventmill.sources.raw import CORRUPT, read_events, read_light
+from eventmill.sinks.tables import (
+    DEFAULT_RAW_TABLE,
+    REJECTS_SUFFIX,
+    drop_days,
+    ensure_raw_table,
+    gather_days,
+    overwrite_days,
+)
+from eventmill.sources.raw import CORRUPT, LandedSize, landed_size, read_events, read_light
+
+# A gzip file above the first size is dealt out over tasks of the second before parsing.
+OVERSIZED_FILE_BYTES = 1024 * 1024 * 1024
+SPREAD_BYTES = 64 * 1024 * 1024
+# Below this average, the scan packs several files into one task.
+SHARED_TASK_FILE_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -51,7 +65,7 @@ def load_days(
     strict: bool = True,
     mode: str = "FAILFAST",
     counted: Mapping[date, DayRows] | None = None,
-    spread: int | None = None,
+    size: LandedSize | None = None,
 ) -> LoadResult:
     """Replace each of ``days`` in the raw table by its landed files; other days are untouched.
 
@@ -59,9 +73,15 @@ def load_days(
     next day must not replace that day's partition. Such records stop a strict load before
     anything is written; otherwise they go to the rejects table under their landing day.
     The gate has counted the days already, so a pipeline run passes ``counted`` and saves a scan.
-    ``spread`` is handed to :func:`read_events`.
+
+    Files of usual size are parsed and written by the task that reads them, without a shuffle. A file
+    far above that is dealt out first, because gzip cannot be split. Files so small that a task reads
+    several, of any day, are gathered by day, or each task would write a file into each day.
     """
     days = sorted(set(days))
+    size = size or landed_size(spark, raw_dir, days)
+    spread = math.ceil(size.total / SPREAD_BYTES) if size.largest > OVERSIZED_FILE_BYTES else None
+    gathered = spread is not None or size.total < size.files * SHARED_TASK_FILE_BYTES
     events = read_events(spark, raw_dir, days, mode, spread)
     counted = dict(count_days(spark, raw_dir, days, mode) if counted is None else counted)
     rows = {d: counted.get(d, DayRows(0, 0)) for d in days}
@@ -76,7 +96,8 @@ def load_days(
     dated = events.withColumnRenamed("land_date", "event_date")
     mine = F.col("event_date") == F.to_date("created_at")
     written = Observation("rows_written")
-    kept: DataFrame = dated.where(F.col("created_at").isNull() | mine).observe(
+    kept = dated.where(F.col("created_at").isNull() | mine)
+    kept = (gather_days(kept, "event_date") if gathered and len(days) > 1 else kept).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
     overwrite_days(kept, table, "event_date", ["type"], empty_days=[d for d, r in rows.items() if not r.in_day])
@@ -84,7 +105,8 @@ def load_days(
     rejects = table + REJECTS_SUFFIX
     clean = [d for d, r in rows.items() if not r.rejected]
     if rejected:
-        overwrite_days(dated.where(~mine), rejects, "event_date", ["type"], empty_days=clean)
+        strays = gather_days(dated.where(~mine), "event_date")
+        overwrite_days(strays, rejects, "event_date", ["type"], empty_days=clean)
     else:
         drop_days(spark, rejects, clean)
     return LoadResult(written.get["rows"], {d: r.in_day for d, r in rows.items()}, rejected)

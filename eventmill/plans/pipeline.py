@@ -7,7 +7,6 @@ batch: its days share one gate scan, one load job and one build per model.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
@@ -35,11 +34,7 @@ from eventmill.sinks.tables import (
     relation,
     replace_table,
 )
-from eventmill.sources.raw import landed_bytes
-
-# A gzip file above this size is dealt out over tasks of this size before parsing.
-OVERSIZED_FILE_BYTES = 1024 * 1024 * 1024
-SPREAD_BYTES = 64 * 1024 * 1024
+from eventmill.sources.raw import landed_size
 
 # dimension -> (its per-day sightings, key, value)
 DIMENSIONS = {
@@ -63,7 +58,7 @@ def build_models(spark: SparkSession, raw: DataFrame, target: str = "dev", prefi
     fact = models.fct_events(flattened)
     if materialization(target, "fct_events") == "table":
         # The layout refresh_models() keeps up to date day by day.
-        dated = fact.withColumn("event_date", F.to_date("created_at"))
+        dated = gather_days(fact.withColumn("event_date", F.to_date("created_at")), "event_date")
         stored = add("fct_events", dated, partition="event_date", cluster=["event_type"])
         built["fct_events"] = stored.select(*models.FACT_COLUMNS)
         rollup = gather_days(models.agg_daily_repo_activity(built["fct_events"]), "activity_date")
@@ -109,7 +104,8 @@ def refresh_models(
         return models.int_events_flattened(models.stg_events(part))
 
     def fact_of(due: list[date]) -> DataFrame:
-        return models.fct_events(flattened_of(due)).withColumn("event_date", F.to_date("created_at"))
+        dated = models.fct_events(flattened_of(due)).withColumn("event_date", F.to_date("created_at"))
+        return gather_days(dated, "event_date")
 
     fact = settle("fct_events", "event_date", ["event_type"], fact_of)
 
@@ -171,17 +167,16 @@ def run_days(
     views need no refresh.
     """
     days = sorted(set(days))
-    total, largest = landed_bytes(spark, raw_dir, days)
+    size = landed_size(spark, raw_dir, days)
     gate = run_gate(spark, raw_dir, days, rules, mode)
     passed = [d for d in days if d not in gate.failed_days]
     if not passed:
         gate.enforce()
     counted = {d: DayRows(gate.counts[d].total, gate.counts[d].in_day) for d in passed}
-    spread = math.ceil(total / SPREAD_BYTES) if largest > OVERSIZED_FILE_BYTES else None
-    loaded = load_days(spark, raw_dir, passed, raw_table, strict, mode, counted, spread)
+    loaded = load_days(spark, raw_dir, passed, raw_table, strict, mode, counted, size)
 
     # The tests look at all of history, so shuffles are sized for it, not for this run's days.
-    history = total * max(1, len(partition_days(spark, raw_table)) // len(days))
+    history = size.total * max(1, len(partition_days(spark, raw_table)) // len(days))
     with sized_shuffles(spark, history):
         if target != "prod":
             built = build_models(spark, spark.table(raw_table), target, prefix)

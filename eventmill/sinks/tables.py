@@ -100,7 +100,8 @@ def replace_table(
 def gather_days(df: DataFrame, partition: str) -> DataFrame:
     """Bring a day's rows together before a partitioned write, splitting days that are too large.
 
-    Without it every task of a wide stage would write a file into every day.
+    Without it every task would write a file into every day it meets. Adaptive execution sizes the
+    output files and splits a day that holds much of the data.
     """
     return df.hint("rebalance", F.col(partition))
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.errors import SyncFailedError
@@ -18,24 +18,22 @@ from eventmill.functions.hours import hour_path, path_hour
 STATUSES = ("downloaded", "skipped", "not_found", "failed")
 
 
-def day_glob(raw_dir: str, day: date) -> str:
-    """Finished files of a day. A ``.part`` leftover does not match."""
-    return f"{raw_dir.rstrip('/')}/{day:%Y/%m/%d}/*.json.gz"
+def day_dir(raw_dir: str, day: date) -> str:
+    return f"{raw_dir.rstrip('/')}/{day:%Y/%m/%d}"
+
+
+def landed(reader: DataFrameReader) -> DataFrameReader:
+    """Only finished files: a ``.part`` leftover does not match. An hour may be a folder of parts."""
+    return reader.option("pathGlobFilter", "*.json.gz").option("recursiveFileLookup", "true")
 
 
 def is_missing_path(error: AnalysisException) -> bool:
     return error.getCondition() == "PATH_NOT_FOUND"
 
 
-def _listing(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+def _listing(spark: SparkSession, path: str) -> DataFrame:
     try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.json.gz")
-            .option("recursiveFileLookup", str(recursive).lower())
-            .load(path)
-            .select("path", "length")
-        )
+        files = landed(spark.read.format("binaryFile")).load(path).select("path", "length")
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
@@ -46,7 +44,7 @@ def _listing(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
 def landed_hours(spark: SparkSession, raw_dir: str) -> DataFrame:
     """(hour, path, length) of everything landed; nothing when the folder does not exist yet."""
     return (
-        _listing(spark, raw_dir, recursive=True)
+        _listing(spark, raw_dir)
         .groupBy("hour")
         .agg(F.min("path").alias("path"), F.sum("length").alias("length"))
     )
@@ -55,7 +53,7 @@ def landed_hours(spark: SparkSession, raw_dir: str) -> DataFrame:
 def day_files(spark: SparkSession, raw_dir: str, day: date) -> DataFrame:
     """(hour, path, length) of one day's files in numeric hour order; empty for a missing day."""
     return (
-        _listing(spark, day_glob(raw_dir, day), recursive=False)
+        _listing(spark, day_dir(raw_dir, day))
         .select(F.hour("hour").alias("hour"), "path", "length")
         .orderBy("hour", "path")
     )

@@ -7,30 +7,37 @@ is narrow, so a back-fill of many days runs as one job with one task per hourly
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventmill.errors import MissingDayError
 from eventmill.functions.hours import path_hour, utc
 from eventmill.schema import RAW_SCHEMA, SAMPLE_SIZE
-from eventmill.sources.landing import day_files, day_glob, is_missing_path
+from eventmill.sources.landing import day_dir, day_files, is_missing_path, landed
 
 CORRUPT = "_corrupt_record"
 LIGHT_SCHEMA = "id string, type string, created_at string"
 
 
-def _load(reader, raw_dir: str, days: Sequence[date]) -> DataFrame:
+def _load(reader: DataFrameReader, raw_dir: str, days: Sequence[date]) -> DataFrame:
+    """All files of the days as one scan. Day folders are listed, so a long back-fill stays cheap to plan."""
     try:
-        return reader.load([day_glob(raw_dir, day) for day in days])
+        frame = landed(reader).load([day_dir(raw_dir, day) for day in days])
     except AnalysisException as error:
         if is_missing_path(error):
             raise MissingDayError(f"no landed files: {error.getMessage()}") from error
         raise
+    folders = {file.rsplit("/", 1)[0] for file in frame.inputFiles()}
+    empty = [day for day in days if not any(f"/{day:%Y/%m/%d}" in folder for folder in folders)]
+    if empty:
+        raise MissingDayError("no landed files for " + ", ".join(map(str, empty)))
+    return frame
 
 
 def _land_date(days: Sequence[date]) -> Column:
@@ -77,11 +84,18 @@ def read_events(
     )
 
 
-def landed_bytes(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> tuple[int, int]:
-    """(total, largest file) of whole days, from file metadata."""
+@dataclass(frozen=True)
+class LandedSize:
+    files: int
+    total: int
+    largest: int
+
+
+def landed_size(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> LandedSize:
+    """How much whole days hold, from file metadata."""
     files = _load(spark.read.format("binaryFile"), raw_dir, days)
-    row = files.agg(F.sum("length").alias("total"), F.max("length").alias("largest")).first()
-    return row.total or 0, row.largest or 0
+    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
+    return LandedSize(*(n or 0 for n in row))
 
 
 def read_light(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST") -> DataFrame:

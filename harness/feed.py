@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.functions.hours import PATH_FORMAT
-from eventmill.session import shared_dir
+from eventmill.session import setting, shared_dir
 from eventmill.sources.landing import landed_hours
 
 # Expressions over (event_id, ts, user_id, event_type, value, k) that read the same in both engines.
@@ -111,8 +111,8 @@ _landings: dict[tuple[str, str], str] = {}
 def landing(spark: SparkSession, sf_dir: str) -> str:
     """The feed as gzipped JSON lines under ``raw/YYYY/MM/DD/H.json.gz``, written once per session.
 
-    Spark writes each hour as a folder of parts, so a crowded hour is not one task's work; the folders
-    then get the landing names.
+    Spark writes each hour as a folder of parts, so a crowded hour is not one task's work. The part, or
+    the folder where there are several, then gets the landing name.
     """
     key = (spark.sparkContext.applicationId, sf_dir)
     if key in _landings:
@@ -130,24 +130,26 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
         F.date_format("land_hour", PATH_FORMAT.replace("/", "-")).alias("land"),
         F.col("id").cast("bigint").alias("position"),
     )
-    (
-        named.hint("rebalance", F.col("land"))
-        .sortWithinPartitions("land", "position")
-        .drop("position")
-        .write.partitionBy("land")
-        .option("compression", "gzip")
-        .json(staged)
-    )
+    # Many small files: worth a task per core even where the bytes would fit one.
+    with setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b"):
+        (
+            named.hint("rebalance", F.col("land"))
+            .sortWithinPartitions("land", "position")
+            .drop("position")
+            .write.partitionBy("land")
+            .option("compression", "gzip")
+            .json(staged)
+        )
     path = spark._jvm.org.apache.hadoop.fs.Path
     fs = path(staged).getFileSystem(spark._jsc.hadoopConfiguration())
-    for status in fs.listStatus(path(staged)):
+    for status in fs.globStatus(path(f"{staged}/land=*")):
         folder = status.getPath()
-        if not folder.getName().startswith("land="):
-            continue
-        year, month, day, hour = folder.getName()[len("land="):].split("-")
+        year, month, day, hour = folder.getName()[len("land=") :].split("-")
         parent = path(f"{raw_dir}/{year}/{month}/{day}")
         fs.mkdirs(parent)
-        fs.rename(folder, path(parent, f"{hour}.json.gz"))
+        parts = fs.globStatus(path(folder, "part-*"))
+        landed = parts[0].getPath() if len(parts) == 1 else folder
+        fs.rename(landed, path(parent, f"{hour}.json.gz"))
     _landings[key] = raw_dir
     return raw_dir
 
