@@ -7,7 +7,7 @@ only the columns and payload fields the last model asks for.
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventmill.functions.json_scalar import json_bigint, json_scalar
+from eventmill.functions.json_scalar import json_scalars, whole_number
 from eventmill.operators.latest import latest_per_key, sightings
 
 FACT_COLUMNS = (
@@ -26,6 +26,16 @@ FACT_COLUMNS = (
     "created_at",
 )
 
+# Payload fields of the flattened model.
+PAYLOAD_PATHS = {
+    "action": "$.action",
+    "ref": "$.ref",
+    "ref_type": "$.ref_type",
+    "push_commit_count": "$.distinct_size",
+    "pull_request_number": "$.number",
+    "issue_number": "$.issue.number",
+}
+
 # The event types the rollup counts.
 COUNTED_TYPES = {
     "push_events": "PushEvent",
@@ -55,7 +65,7 @@ def stg_events(raw: DataFrame) -> DataFrame:
 
 def int_events_flattened(stg: DataFrame) -> DataFrame:
     """Typed payload columns for every event that carries the field, whatever its type."""
-    return stg.select(
+    return json_scalars(stg, "payload", PAYLOAD_PATHS).select(
         "event_id",
         "event_type",
         "actor_id",
@@ -66,12 +76,10 @@ def int_events_flattened(stg: DataFrame) -> DataFrame:
         "org_login",
         "is_public",
         "created_at",
-        json_scalar("payload", "$.action").alias("action"),
-        json_scalar("payload", "$.ref").alias("ref"),
-        json_scalar("payload", "$.ref_type").alias("ref_type"),
-        json_bigint("payload", "$.distinct_size").alias("push_commit_count"),
-        json_bigint("payload", "$.number").alias("pull_request_number"),
-        json_bigint("payload", "$.issue.number").alias("issue_number"),
+        "action",
+        "ref",
+        "ref_type",
+        *[whole_number(c).alias(c) for c in ("push_commit_count", "pull_request_number", "issue_number")],
     )
 
 

@@ -96,7 +96,9 @@ def refresh_models(
         if held - raw_days:
             drop_days(spark, table, sorted(held - raw_days))
         if due:
-            put_days(build(sorted(due)), table, partition, cluster, due)
+            rows = build(sorted(due))
+            # Rows of a single day cannot scatter over days: no task writes more than one file.
+            put_days(gather_days(rows, partition) if len(due) > 1 else rows, table, partition, cluster, due)
         return spark.table(table)
 
     def flattened_of(due: list[date]) -> DataFrame:
@@ -104,14 +106,12 @@ def refresh_models(
         return models.int_events_flattened(models.stg_events(part))
 
     def fact_of(due: list[date]) -> DataFrame:
-        dated = models.fct_events(flattened_of(due)).withColumn("event_date", F.to_date("created_at"))
-        return gather_days(dated, "event_date")
+        return models.fct_events(flattened_of(due)).withColumn("event_date", F.to_date("created_at"))
 
     fact = settle("fct_events", "event_date", ["event_type"], fact_of)
 
     def rollup_of(due: list[date]) -> DataFrame:
-        rollup = models.agg_daily_repo_activity(fact.where(F.col("event_date").isin(due)))
-        return gather_days(rollup, "activity_date")
+        return models.agg_daily_repo_activity(fact.where(F.col("event_date").isin(due)))
 
     built = {
         "stg_events": stg,
@@ -122,7 +122,7 @@ def refresh_models(
     for dimension, (state, key, value) in DIMENSIONS.items():
 
         def sightings_of(due: list[date], key=key, value=value) -> DataFrame:
-            return gather_days(models.daily_sightings(flattened_of(due), key, value), "event_date")
+            return models.daily_sightings(flattened_of(due), key, value)
 
         seen = settle(state, "event_date", [key], sightings_of)
         table = relation(target, dimension, prefix)

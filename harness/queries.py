@@ -52,10 +52,10 @@ def q_landed_hours(spark, sf):
 def q_day_files(spark, sf):
     raw_dir = feed.landing(spark, sf)
     days = [
-        landing_source.day_files(spark, raw_dir, day).select(F.lit(day).alias("day"), "hour").distinct()
+        landing_source.day_files(spark, raw_dir, day).select(F.lit(day).alias("day"), "hour")
         for day in feed.landed_days(spark, raw_dir)
     ]
-    return reduce(DataFrame.unionAll, days)
+    return reduce(DataFrame.unionAll, days).distinct()
 
 
 def _listings(spark, sf):
@@ -146,7 +146,7 @@ def q_source_freshness(spark, sf):
 
 
 def q_gate_landed_days(spark, sf):
-    return gate.check_rows(gate.day_counts(raw_source.read_envelopes(spark, *_landed(spark, sf))))
+    return gate.run_gate(spark, *_landed(spark, sf)).checks
 
 
 def q_gate_faulty_days(spark, sf):
