@@ -13,6 +13,7 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventmill.errors import QualityGateError
 from eventmill.schema import (
@@ -157,8 +158,10 @@ def run_gate(
     if unseen:
         recount = day_counts(read_envelopes(spark, raw_dir, unseen, mode), rules)
         rows.update((row.land_date, row) for row in recount.collect())
-    full = [rows.get(d) or (d, *[None] * (len(counts.columns) - 1)) for d in days]
-    checks = check_rows(spark.createDataFrame([tuple(r) for r in full], counts.schema), rules)
+    # A day without records has no counts at all.
+    full = [tuple(rows.get(d) or (d, *[None] * (len(counts.columns) - 1))) for d in days]
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in counts.schema])
+    checks = check_rows(spark.createDataFrame(full, schema), rules)
     failures = []
     for row in checks.where(~F.col("success")).orderBy("land_date").collect():
         failure = row.asDict()

@@ -1,0 +1,112 @@
+import datetime as dt
+
+import pytest
+from landed import DAY, event, land
+
+from eventmill.errors import MissingDayError, SyncFailedError
+from eventmill.functions.hours import hour_grid
+from eventmill.sources import landing, raw
+
+T0 = dt.datetime(2024, 1, 10)
+
+
+def at(h):
+    return T0 + dt.timedelta(hours=h)
+
+
+def frames(spark, landed, manifest, hours):
+    return (
+        hour_grid(spark, T0, at(hours)),
+        spark.createDataFrame([(at(h), f"raw/{h}", n) for h, n in landed], "hour timestamp, path string, length bigint"),
+        spark.createDataFrame(
+            [(at(h), e, n) for h, e, n in manifest], "hour timestamp, exists boolean, content_length bigint"
+        ),
+    )
+
+
+LANDED = [(0, 10), (1, 5), (2, 7), (3, 7)]
+MANIFEST = [(0, True, 10), (1, True, 999), (2, False, None), (3, True, None), (4, True, 50), (5, False, None), (7, True, None)]
+
+
+def statuses(plan):
+    return {r.hour.hour: (r.status, r.bytes) for r in plan.collect()}
+
+
+def test_plan_follows_the_truth_table(spark):
+    plan = landing.sync_plan(*frames(spark, LANDED, MANIFEST, 8))
+    assert statuses(plan) == {
+        0: ("skipped", 10),
+        1: ("refetch", 999),
+        2: ("not_found", 0),
+        3: ("not_found", 0),  # landed, published without a size
+        4: ("fetch", 50),
+        5: ("not_found", 0),
+        6: ("not_found", 0),  # unknown to the remote side
+        7: ("fetch", 0),
+    }
+    assert plan.where("hour = '2024-01-10 04:00:00'").first().path == "raw/2024/01/10/4.json.gz"
+
+
+def test_force_fetches_whatever_is_published(spark):
+    plan = landing.sync_plan(*frames(spark, LANDED, MANIFEST, 6), force=True)
+    assert [statuses(plan)[h][0] for h in range(6)] == ["fetch", "fetch", "not_found", "fetch", "fetch", "not_found"]
+
+
+def test_result_and_summary(spark):
+    grid, landed, manifest = frames(spark, LANDED, MANIFEST, 8)
+    plan = landing.sync_plan(grid, landed, manifest)
+    # Hour 1 kept its old file, hour 4 arrived, hour 7 did not.
+    _, after, _ = frames(spark, [(0, 10), (1, 5), (4, 50)], [], 8)
+    result = landing.sync_result(plan, after)
+    assert statuses(result)[1] == ("failed", 0)
+    assert statuses(result)[4] == ("downloaded", 50)
+    assert statuses(result)[7] == ("failed", 0)
+    summary = landing.sync_summary(result)
+    assert summary.first().asDict() == {
+        "hours_requested": 8,
+        "downloaded": 1,
+        "skipped": 1,
+        "not_found": 4,
+        "failed": 2,
+        "total_bytes": 60,
+    }
+    with pytest.raises(SyncFailedError):
+        landing.require_complete(summary)
+
+
+def test_summary_of_nothing(spark):
+    grid, landed, manifest = frames(spark, [], [], 0)
+    row = landing.require_complete(landing.sync_summary(landing.sync_plan(grid, landed, manifest)))
+    assert row["hours_requested"] == 0 and row["total_bytes"] == 0
+
+
+def test_day_files_are_in_numeric_hour_order(spark, scratch):
+    for hour in (2, 10, 1, 20, 9):
+        land(scratch, DAY, hour, [event(hour)])
+    with open(f"{scratch}/{DAY:%Y/%m/%d}/7.json.gz.part", "wb") as f:
+        f.write(b"half a file")
+    files = landing.day_files(spark, scratch, DAY).collect()
+    assert [f.hour for f in files] == [1, 2, 9, 10, 20]
+    assert all(f.length > 0 for f in files)
+    hours = landing.landed_hours(spark, scratch).orderBy("hour").collect()
+    assert [h.hour for h in hours] == [at(n) for n in (1, 2, 9, 10, 20)]
+
+
+def test_missing_days(spark, scratch):
+    assert landing.day_files(spark, scratch, DAY).count() == 0
+    assert landing.landed_hours(spark, f"{scratch}/nowhere").count() == 0
+    for read in (raw.read_events, raw.read_light, raw.read_envelopes):
+        with pytest.raises(MissingDayError):
+            read(spark, scratch, [DAY])
+    with pytest.raises(MissingDayError):
+        raw.sample_lines(spark, scratch, DAY)
+
+
+def test_a_day_folder_without_files_is_missing(spark, scratch):
+    land(scratch, DAY, 0, [event(1)])
+    other = dt.date(2024, 1, 11)
+    import os
+
+    os.makedirs(f"{scratch}/{other:%Y/%m/%d}")
+    with pytest.raises(MissingDayError, match="2024-01-11"):
+        raw.read_light(spark, scratch, [DAY, other])
