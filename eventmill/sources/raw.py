@@ -6,6 +6,7 @@ is narrow, so a back-fill of many days runs as one job with one task per hourly
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
@@ -23,6 +24,7 @@ from eventmill.sources.landing import day_dir, day_files, is_missing_path, lande
 
 CORRUPT = "_corrupt_record"
 LIGHT_SCHEMA = "id string, type string, created_at string"
+PATH_DAY = re.compile(r"/(\d{4}/\d{2}/\d{2})/\d{1,2}\.json\.gz")
 
 
 def _load(reader: DataFrameReader, raw_dir: str, days: Sequence[date]) -> DataFrame:
@@ -33,8 +35,8 @@ def _load(reader: DataFrameReader, raw_dir: str, days: Sequence[date]) -> DataFr
         if is_missing_path(error):
             raise MissingDayError(f"no landed files: {error.getMessage()}") from error
         raise
-    folders = {file.rsplit("/", 1)[0] for file in frame.inputFiles()}
-    empty = [day for day in days if not any(f"/{day:%Y/%m/%d}" in folder for folder in folders)]
+    found = {match[1] for match in map(PATH_DAY.search, frame.inputFiles()) if match}
+    empty = [day for day in days if f"{day:%Y/%m/%d}" not in found]
     if empty:
         raise MissingDayError("no landed files for " + ", ".join(map(str, empty)))
     return frame

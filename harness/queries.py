@@ -225,8 +225,14 @@ def q_daily_run(spark, sf):
     ).tests
 
 
+_day_wise: dict[tuple[str, str], dict[str, DataFrame]] = {}
+
+
 def _day_wise_marts(spark, sf):
-    """Half of the days, then the rest, then one day again."""
+    """Half of the days, then the rest, then one day again; built once per session."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key in _day_wise:
+        return _day_wise[key]
     prefix = _fresh_prefix(spark)
     raw_dir, days = _landed(spark, sf)
     table = f"{prefix}raw.events"
@@ -234,6 +240,7 @@ def _day_wise_marts(spark, sf):
     for batch in (days[::2], days[1::2], days[:1]):
         load_days(spark, raw_dir, batch, table, strict=False)
         built = pipeline.refresh_models(spark, table, batch, prefix=prefix)
+    _day_wise[key] = built
     return built
 
 
