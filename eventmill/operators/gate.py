@@ -13,7 +13,6 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from eventmill.errors import QualityGateError
 from eventmill.schema import (
@@ -24,6 +23,7 @@ from eventmill.schema import (
     SAMPLE_SIZE,
     TOLERATED_PERCENT,
 )
+from eventmill.session import local_frame
 from eventmill.sources.raw import read_envelopes, read_light
 
 SAMPLED_FAILURES = 20
@@ -160,8 +160,8 @@ def run_gate(
         rows.update((row.land_date, row) for row in recount.collect())
     # A day without records has no counts at all.
     full = [tuple(rows.get(d) or (d, *[None] * (len(counts.columns) - 1))) for d in days]
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in counts.schema])
-    checks = check_rows(spark.createDataFrame(full, schema), rules)
+    schema = ", ".join(f"{name} {kind}" for name, kind in counts.dtypes)
+    checks = check_rows(local_frame(spark, full, schema), rules)
     failures = []
     for row in checks.where(~F.col("success")).orderBy("land_date").collect():
         failure = row.asDict()

@@ -20,7 +20,7 @@ from eventmill.operators.latest import latest_per_key
 from eventmill.operators.model_tests import run_model_tests
 from eventmill.plans import models
 from eventmill.plans.load import DayRows, LoadResult, load_days
-from eventmill.session import sized_shuffles
+from eventmill.session import local_frame, sized_shuffles
 from eventmill.sinks.tables import (
     DEFAULT_RAW_TABLE,
     drop_days,
@@ -185,7 +185,7 @@ def run_days(
         else:
             built = refresh_models(spark, raw_table, passed, target, prefix)
         results = run_model_tests(built).collect()
-    tests = spark.createDataFrame(results, "model string, column string, test string, failures bigint, passed boolean")
+    tests = local_frame(spark, results, "model string, column string, test string, failures bigint, passed boolean")
     failed = [r for r in results if not r.passed]
     if failed:
         raise ModelTestError("; ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed))

@@ -11,7 +11,10 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # Dates and hours are UTC everywhere; the other two are on by default, and relied on.
 RUNTIME_SETTINGS = {
@@ -55,6 +58,13 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def local_frame(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A few driver-side rows as a DataFrame, handed over as Arrow so that no Python worker starts."""
+    fields = StructType.fromDDL(schema)
+    records = [dict(zip(fields.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, to_arrow_schema(fields)), fields)
+
+
 @contextmanager
 def setting(spark: SparkSession, key: str, value: str):
     """Hold one runtime setting for the length of an eager action."""

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from eventmill.errors import SyncFailedError
 from eventmill.functions.hours import hour_path, path_hour
+from eventmill.session import local_frame
 
 STATUSES = ("downloaded", "skipped", "not_found", "failed")
 
@@ -37,7 +38,7 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     except AnalysisException as error:
         if not is_missing_path(error):
             raise
-        files = spark.createDataFrame([], "path string, length bigint")
+        files = local_frame(spark, [], "path string, length bigint")
     return files.withColumn("hour", path_hour(F.col("path"))).where(F.col("hour").isNotNull())
 
 

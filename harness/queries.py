@@ -13,7 +13,7 @@ from eventmill.functions.hours import explode_hours, hour_grid, hour_key, hour_p
 from eventmill.operators import gate, model_tests
 from eventmill.plans import models, pipeline, serving
 from eventmill.plans.load import load_days
-from eventmill.session import pin, shared_dir
+from eventmill.session import local_frame, pin, shared_dir
 from eventmill.sinks import tables
 from eventmill.sources import landing as landing_source
 from eventmill.sources import raw as raw_source
@@ -196,7 +196,7 @@ def q_day_overwrite(spark, sf):
 def q_loaded_row_count(spark, sf):
     result = _loaded(spark, sf)[-1]
     rows = [(day, n, result.rejected.get(day, 0)) for day, n in result.loaded.items()]
-    return spark.createDataFrame(rows, "land_date date, loaded bigint, rejected bigint")
+    return local_frame(spark, rows, "land_date date, loaded bigint, rejected bigint")
 
 
 def q_straggler_rejects(spark, sf):
