@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmill.errors import QualityGateError
@@ -105,13 +105,26 @@ def check_rows(counts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     return counts.select("land_date", F.inline(F.array(*checks)))
 
 
-def unexpected_sample(light: DataFrame, check: str, column: str, rules: GateRules = GateRules()) -> list[str]:
-    """A few offending values of a failed check, as text. Nulls have no value to show."""
-    offending = {"in_range": ~rules.in_range(), "in_set": ~rules.is_known()}.get(check)
-    if offending is None:
-        return []
-    rows = light.where(offending).select(F.col(column).cast("string").alias("v")).limit(SAMPLED_FAILURES)
-    return [row.v for row in rows.collect()]
+def unexpected_samples(light: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
+    """(land_date, check, value): a few offending values of each value check, per day.
+
+    Nulls offend the null checks only and have no value to show. The rank is cut off inside each
+    task before the shuffle, so a day of nothing but offenders costs no more than a good one.
+    """
+
+    def offender(check: str, column: str, good: Column) -> Column:
+        return F.when(~good, F.struct(F.lit(check).alias("check"), F.col(column).cast("string").alias("value")))
+
+    offenders = F.array(
+        offender("in_range", "created_at", rules.in_range()), offender("in_set", "type", rules.is_known())
+    )
+    by_check = Window.partitionBy("land_date", "check").orderBy("value")
+    return (
+        light.select("land_date", F.inline(F.array_compact(offenders)))
+        .withColumn("rank", F.row_number().over(by_check))
+        .where(F.col("rank") <= SAMPLED_FAILURES)
+        .drop("rank")
+    )
 
 
 def unlisted_keys(envelopes: DataFrame, listed: Sequence[str]) -> DataFrame:
@@ -162,13 +175,12 @@ def run_gate(
     full = [tuple(rows.get(d) or (d, *[None] * (len(counts.columns) - 1))) for d in days]
     schema = ", ".join(f"{name} {kind}" for name, kind in counts.dtypes)
     checks = check_rows(local_frame(spark, full, schema), rules)
-    failures = []
-    for row in checks.where(~F.col("success")).orderBy("land_date").collect():
-        failure = row.asDict()
-        failure["partial_unexpected"] = (
-            unexpected_sample(read_light(spark, raw_dir, [row.land_date], mode), row["check"], row["column"], rules)
-            if row.unexpected_count
-            else []
-        )
-        failures.append(failure)
+    failures = [row.asDict() for row in checks.where(~F.col("success")).orderBy("land_date").collect()]
+    shown = sorted({f["land_date"] for f in failures if f["unexpected_count"] and f["check"] in ("in_range", "in_set")})
+    samples: dict[tuple, list[str]] = {}
+    if shown:
+        for row in unexpected_samples(read_light(spark, raw_dir, shown, mode), rules).collect():
+            samples.setdefault((row.land_date, row.check), []).append(row.value)
+    for failure in failures:
+        failure["partial_unexpected"] = sorted(samples.get((failure["land_date"], failure["check"]), []))
     return GateResult(checks, rows, failures)

@@ -23,7 +23,7 @@ def day_dir(raw_dir: str, day: date) -> str:
     return f"{raw_dir.rstrip('/')}/{day:%Y/%m/%d}"
 
 
-def landed(reader: DataFrameReader) -> DataFrameReader:
+def finished_files(reader: DataFrameReader) -> DataFrameReader:
     """Only finished files: a ``.part`` leftover does not match. An hour may be a folder of parts."""
     return reader.option("pathGlobFilter", "*.json.gz").option("recursiveFileLookup", "true")
 
@@ -34,7 +34,7 @@ def is_missing_path(error: AnalysisException) -> bool:
 
 def _listing(spark: SparkSession, path: str) -> DataFrame:
     try:
-        files = landed(spark.read.format("binaryFile")).load(path).select("path", "length")
+        files = finished_files(spark.read.format("binaryFile")).load(path).select("path", "length")
     except AnalysisException as error:
         if not is_missing_path(error):
             raise

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from eventmill.errors import MissingDayError
 from eventmill.functions.hours import path_hour, utc
 from eventmill.schema import RAW_SCHEMA, SAMPLE_SIZE
-from eventmill.sources.landing import day_dir, day_files, is_missing_path, landed
+from eventmill.sources.landing import day_dir, day_files, finished_files, is_missing_path
 
 CORRUPT = "_corrupt_record"
 LIGHT_SCHEMA = "id string, type string, created_at string"
@@ -30,7 +30,7 @@ PATH_DAY = re.compile(r"/(\d{4}/\d{2}/\d{2})/\d{1,2}\.json\.gz")
 def _load(reader: DataFrameReader, raw_dir: str, days: Sequence[date]) -> DataFrame:
     """All files of the days as one scan. Day folders are listed, so a long back-fill stays cheap to plan."""
     try:
-        frame = landed(reader).load([day_dir(raw_dir, day) for day in days])
+        frame = finished_files(reader).load([day_dir(raw_dir, day) for day in days])
     except AnalysisException as error:
         if is_missing_path(error):
             raise MissingDayError(f"no landed files: {error.getMessage()}") from error

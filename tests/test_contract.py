@@ -1,0 +1,34 @@
+"""Rules the whole repository keeps."""
+
+import pathlib
+import re
+
+from eventmill.session import build_session, shared_dir, sized_shuffles
+
+ROOT = pathlib.Path(__file__).resolve().parent.parent
+
+
+def test_no_local_checkpoints_cross_joins_or_python_udfs():
+    banned = re.compile(r"localCheckpoint|crossJoin|\bF\.udf\b|pandas_udf|mapInPandas|applyInPandas|\.rdd\b|broadcast\(")
+    for file in [*ROOT.glob("eventmill/**/*.py"), *ROOT.glob("harness/*.py")]:
+        assert not banned.search(file.read_text()), file
+
+
+def test_shared_dir_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir")
+    assert shared_dir(spark, "x").startswith(root + "/x-")
+    assert shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_shuffles_grow_with_the_input_and_settle_back(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = spark.conf.get(key, None)
+    with sized_shuffles(spark, 10**12) as wanted:
+        assert wanted == 3726 and spark.conf.get(key) == "3726"
+    assert spark.conf.get(key, None) == before
+    with sized_shuffles(spark, 1) as wanted:
+        assert wanted == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_sessions_are_pinned_to_utc(spark):
+    assert build_session("again").conf.get("spark.sql.session.timeZone") == "UTC"
