@@ -178,12 +178,22 @@ def within_days(df: DataFrame, start: date, end: date, partition: str = "event_d
     )
 
 
-def freshness(df: DataFrame, now: datetime) -> DataFrame:
-    """Newest ``created_at`` and its lag behind ``now``, in seconds."""
-    newest = F.max("created_at")
-    return df.agg(newest.alias("max_created_at")).select(
-        "max_created_at",
-        (F.unix_timestamp(utc(now)) - F.unix_timestamp(F.col("max_created_at").cast("timestamp"))).alias(
-            "lag_seconds"
-        ),
+def freshness(
+    df: DataFrame, now: datetime, warn_after: timedelta | None = None, error_after: timedelta | None = None
+) -> DataFrame:
+    """Newest ``created_at``, its lag behind ``now`` in seconds, and ``pass``, ``warn`` or ``error``.
+
+    Without thresholds everything passes; a source without rows has no lag and fails any threshold.
+    """
+    lag = F.unix_timestamp(utc(now)) - F.unix_timestamp(F.col("max_created_at").cast("timestamp"))
+
+    def beyond(limit: timedelta | None) -> Column:
+        if limit is None:
+            return F.lit(False)
+        return F.col("lag_seconds").isNull() | (F.col("lag_seconds") > int(limit.total_seconds()))
+
+    return (
+        df.agg(F.max("created_at").alias("max_created_at"))
+        .withColumn("lag_seconds", lag)
+        .withColumn("status", F.when(beyond(error_after), "error").when(beyond(warn_after), "warn").otherwise("pass"))
     )

@@ -307,14 +307,27 @@ def check_sql() -> dict[str, str]:
             where cast(land_hour as date) = (select min(cast(land_hour as date)) from feed)
             order by land_hour, cast(event_id as bigint) limit 2000""",
         "source_freshness": """
-            select max(ts) as max_created_at,
-                   cast(epoch(timestamp '2024-02-01') as bigint) - cast(floor(epoch(max(ts))) as bigint) as lag_seconds
-            from events""",
+            select *, case when lag_seconds > 3 * 86400 then 'error' when lag_seconds > 86400 then 'warn'
+                           else 'pass' end as status
+            from (select max(ts) as max_created_at,
+                         cast(epoch(timestamp '2024-02-01') as bigint)
+                         - cast(floor(epoch(max(ts))) as bigint) as lag_seconds
+                  from events)""",
         "gate_landed_days": f"""with {FEED},
             landed as (select *, cast(land_hour as date) as land_date from feed),
             {gate('landed', 'land_date', {'repo': 'repo_id is not null'})}""",
         "gate_faulty_days": f"with {FAULTY}, {gate('faulty_all', 'land_date', {'public': 'has_extra'})}",
         "gate_one_batch": f"""with {FAULTY}, {gate('faulty_all', "date '2024-01-01'", {'public': 'has_extra'})}""",
+        "gate_failure_samples": f"""with {FAULTY},
+            offenders as (
+              select land_date, 'in_range' as "check", cast(created_at as varchar) as value from faulty_all
+              where not (created_at between cast(land_date as timestamp) - interval 6 hours
+                         and cast(land_date as timestamp) + interval 30 hours)
+              union all
+              select land_date, 'in_set', event_type from faulty_all where event_type not in ({KNOWN})
+            )
+            select * from offenders
+            qualify row_number() over (partition by land_date, "check" order by value) <= 20""",
         "gate_unlisted_keys": "select 'extra' as key, count(*) as records from events where value > 400 having count(*) > 0",
         "day_overwrite": f"""with {STORED}
             select cast(created_at as date) as event_date, event_type as type, count(*) as n_rows,

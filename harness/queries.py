@@ -110,26 +110,24 @@ def _landed(spark, sf):
 
 def q_jsonl_scan(spark, sf):
     scanned = raw_source.read_events(spark, *_landed(spark, sf))
-    return plain(
-        scanned.select(
-            "id",
-            "type",
-            F.col("actor.id").alias("actor_id"),
-            F.col("actor.login").alias("actor_login"),
-            F.col("repo.id").alias("repo_id"),
-            F.col("repo.name").alias("repo_name"),
-            F.col("org.id").alias("org_id"),
-            F.col("org.login").alias("org_login"),
-            F.to_json("payload").alias("payload"),
-            F.col("public").alias("public_event"),
-            "created_at",
-            "land_date",
-        )
+    return scanned.select(
+        "id",
+        "type",
+        F.col("actor.id").alias("actor_id"),
+        F.col("actor.login").alias("actor_login"),
+        F.col("repo.id").alias("repo_id"),
+        F.col("repo.name").alias("repo_name"),
+        F.col("org.id").alias("org_id"),
+        F.col("org.login").alias("org_login"),
+        F.to_json("payload").alias("payload"),
+        F.col("public").alias("public_event"),
+        "created_at",
+        "land_date",
     )
 
 
 def q_light_scan(spark, sf):
-    return plain(raw_source.read_light(spark, *_landed(spark, sf)))
+    return raw_source.read_light(spark, *_landed(spark, sf))
 
 
 def q_sample_lines(spark, sf):
@@ -139,7 +137,8 @@ def q_sample_lines(spark, sf):
 
 
 def q_source_freshness(spark, sf):
-    return plain(raw_source.freshness(feed.raw_events(spark, sf), NOW))
+    limits = dt.timedelta(days=1), dt.timedelta(days=3)
+    return raw_source.freshness(feed.raw_events(spark, sf), NOW, *limits)
 
 
 # ---- gate -----------------------------------------------------------------------------------------
@@ -159,6 +158,10 @@ def q_gate_one_batch(spark, sf):
     return gate.check_rows(gate.day_counts(feed.faulty_events(spark, sf).withColumn("land_date", first)))
 
 
+def q_gate_failure_samples(spark, sf):
+    return gate.unexpected_samples(feed.faulty_events(spark, sf))
+
+
 def q_gate_unlisted_keys(spark, sf):
     return gate.unlisted_keys(feed.faulty_events(spark, sf), RAW_SCHEMA.fieldNames())
 
@@ -201,7 +204,7 @@ def q_loaded_row_count(spark, sf):
 
 def q_straggler_rejects(spark, sf):
     table = _loaded(spark, sf)[3]
-    return plain(spark.table(table + tables.REJECTS_SUFFIX).select("id", "type", "created_at", "event_date"))
+    return spark.table(table + tables.REJECTS_SUFFIX).select("id", "type", "created_at", "event_date")
 
 
 def q_partition_retention(spark, sf):
@@ -296,20 +299,12 @@ def _dim_actor(spark, sf):
 
 def q_stg_events(spark, sf):
     stg = models.stg_events(feed.raw_events(spark, sf))
-    return plain(stg.withColumn("payload", F.to_json("payload")))
+    return stg.withColumn("payload", F.to_json("payload"))
 
 
 def q_stg_faulty_events(spark, sf):
     """Records without id or time are dropped, unknown types are kept."""
-    return plain(models.stg_events(feed.faulty_events(spark, sf)).drop("payload"))
-
-
-def q_int_events_flattened(spark, sf):
-    return plain(_flattened(spark, sf))
-
-
-def q_fct_events(spark, sf):
-    return plain(_fact(spark, sf))
+    return models.stg_events(feed.faulty_events(spark, sf)).drop("payload")
 
 
 # ---- model tests ----------------------------------------------------------------------------------
@@ -370,6 +365,7 @@ QUERIES = {
     "gate_landed_days": q_gate_landed_days,
     "gate_faulty_days": q_gate_faulty_days,
     "gate_one_batch": q_gate_one_batch,
+    "gate_failure_samples": q_gate_failure_samples,
     "gate_unlisted_keys": q_gate_unlisted_keys,
     "day_overwrite": q_day_overwrite,
     "loaded_row_count": q_loaded_row_count,
@@ -383,8 +379,8 @@ QUERIES = {
     "dev_views": q_dev_views,
     "stg_events": q_stg_events,
     "stg_faulty_events": q_stg_faulty_events,
-    "int_events_flattened": q_int_events_flattened,
-    "fct_events": q_fct_events,
+    "int_events_flattened": _flattened,
+    "fct_events": _fact,
     "dim_repo": _dim_repo,
     "dim_actor": _dim_actor,
     "agg_daily_repo_activity": _rollup,
@@ -407,7 +403,7 @@ QUERIES = {
 
 def _pinned(query):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return query(pin(spark), sf_dir)
+        return plain(query(pin(spark), sf_dir))
 
     return run
 

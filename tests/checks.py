@@ -29,6 +29,23 @@ def _normal(columns, rows):
     return [columns[i] for i in order], sorted([tuple(_cell(r[i]) for i in order) for r in rows])
 
 
+DUCK_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "double": "DOUBLE",
+    "date": "DATE",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def types(frame, con, sql: str):
+    """(spark, sql) column types by name."""
+    described = con.execute(f"describe {sql}").fetchall()
+    return {name: DUCK_TYPES.get(kind, kind) for name, kind in frame.dtypes}, {row[0]: row[1] for row in described}
+
+
 def compare(frame, con, sql: str):
     """(spark, sql) results, normalised; equal when the query is right."""
     spark_side = _normal(frame.columns, [tuple(r) for r in frame.collect()])

@@ -1,7 +1,7 @@
 """Every registered query beside its SQL, over whole tables."""
 
 import pytest
-from checks import compare, duck
+from checks import compare, duck, types
 
 import __spark_entry__ as contract
 
@@ -19,7 +19,10 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", sorted(contract.queries()))
 def test_query_equals_sql(spark, con, name):
-    spark_side, sql_side = compare(contract.queries()[name](spark, SF_DIR), con, contract.oracle_sql()[name])
+    frame, sql = contract.queries()[name](spark, SF_DIR), contract.oracle_sql()[name]
+    spark_types, sql_types = types(frame, con, sql)
+    assert spark_types == sql_types
+    spark_side, sql_side = compare(frame, con, sql)
     assert spark_side == sql_side
 
 

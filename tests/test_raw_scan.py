@@ -95,5 +95,11 @@ def test_spread_reads_the_same_records(spark, scratch):
 
 def test_freshness(spark, scratch):
     land(scratch, DAY, 1, [event(5, hour=1), event(7, hour=1)])
-    row = raw.freshness(raw.read_light(spark, scratch, [DAY]), dt.datetime(2024, 1, 10, 2)).first()
-    assert row.max_created_at == dt.datetime(2024, 1, 10, 1, 7) and row.lag_seconds == 53 * 60
+    light, now, minute = raw.read_light(spark, scratch, [DAY]), dt.datetime(2024, 1, 10, 2), dt.timedelta(minutes=1)
+    row = raw.freshness(light, now).first()
+    assert row.max_created_at == dt.datetime(2024, 1, 10, 1, 7)
+    assert row.lag_seconds == 53 * 60 and row.status == "pass"
+    assert raw.freshness(light, now, 53 * minute, 60 * minute).first().status == "pass"
+    assert raw.freshness(light, now, 52 * minute, 60 * minute).first().status == "warn"
+    assert raw.freshness(light, now, minute, 52 * minute).first().status == "error"
+    assert raw.freshness(light.where("id is null"), now, minute).first().status == "warn"
