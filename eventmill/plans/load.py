@@ -91,8 +91,14 @@ def load_days(
         raise StragglerError(f"records of another day in the landed files ({detail})")
 
     ensure_raw_table(spark, table)
-    if mode == "PERMISSIVE":
+    rejects = table + REJECTS_SUFFIX
+    tolerant = mode == "PERMISSIVE"
+    if tolerant:
+        # Only the full parse tells which lines are malformed, so no count made before it is exact:
+        # the days are emptied first and counted afterwards.
         events = events.where(F.col(CORRUPT).isNull())
+        drop_days(spark, table, days)
+        drop_days(spark, rejects, days)
     dated = events.withColumnRenamed("land_date", "event_date")
     mine = F.col("event_date") == F.to_date("created_at")
     written = Observation("rows_written")
@@ -102,14 +108,24 @@ def load_days(
     )
     overwrite_days(kept, table, "event_date", ["type"], empty_days=[d for d, r in rows.items() if not r.in_day])
 
-    rejects = table + REJECTS_SUFFIX
     clean = [d for d, r in rows.items() if not r.rejected]
-    if rejected:
+    if rejected or tolerant:
         strays = gather_days(dated.where(~mine), "event_date")
-        overwrite_days(strays, rejects, "event_date", ["type"], empty_days=clean)
+        overwrite_days(strays, rejects, "event_date", ["type"], empty_days=[] if tolerant else clean)
     else:
         drop_days(spark, rejects, clean)
-    return LoadResult(written.get["rows"], {d: r.in_day for d, r in rows.items()}, rejected)
+    if tolerant:
+        return LoadResult(written.get["rows"], _stored(spark, table, days), _stored(spark, rejects, days))
+    loaded = {d: r.in_day for d, r in rows.items()}
+    if written.get["rows"] != sum(loaded.values()):
+        raise StragglerError(f"counted {sum(loaded.values())} records of {days}, wrote {written.get['rows']}")
+    return LoadResult(written.get["rows"], loaded, rejected)
+
+
+def _stored(spark: SparkSession, table: str, days: Sequence[date]) -> dict[date, int]:
+    """Rows per day, from file footers."""
+    held = spark.table(table).where(F.col("event_date").isin(list(days))).groupBy("event_date").count()
+    return {row.event_date: row["count"] for row in held.collect()}
 
 
 def quarantine(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> DataFrame:

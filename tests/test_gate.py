@@ -1,5 +1,3 @@
-import datetime as dt
-
 import pytest
 from landed import DAY, NEXT, event, land, land_day
 

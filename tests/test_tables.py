@@ -58,8 +58,19 @@ def test_permissive_load_leaves_malformed_lines_out(spark, scratch, raw_table):
     land(scratch, DAY, 0, [event(1), "{oops", event(2)])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
         load_days(spark, scratch, [DAY], raw_table)
-    assert load_days(spark, scratch, [DAY], raw_table, mode="PERMISSIVE").rows_written == 2
+    result = load_days(spark, scratch, [DAY], raw_table, mode="PERMISSIVE")
+    assert result.rows_written == 2 and result.loaded == {DAY: 2} and result.rejected == {}
     assert per_day(spark, raw_table) == {DAY: 2}
+    land(scratch, DAY, 0, ["{oops", '{"id":"4","payload":{"a":1,"a":2}}', event(5, NEXT)])
+    result = load_days(spark, scratch, [DAY], raw_table, strict=False, mode="PERMISSIVE")
+    assert result.loaded == {} and result.rejected == {DAY: 1}
+    assert per_day(spark, raw_table) == {}
+
+
+def test_a_record_the_count_and_the_load_disagree_on_is_not_lost_silently(spark, scratch, raw_table):
+    land(scratch, DAY, 0, [event(1), event(2, created_at=12)])
+    with pytest.raises(StragglerError, match="counted 2 records"):
+        load_days(spark, scratch, [DAY], raw_table)
 
 
 def test_oversized_files_are_dealt_out(spark, scratch, raw_table, monkeypatch):
