@@ -4,6 +4,8 @@ import pytest
 from checks import compare, duck, types
 
 import __spark_entry__ as contract
+from harness.check_sql import check_sql
+from harness.queries import registry
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -14,10 +16,10 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(registry()) == set(check_sql()) <= set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.oracle_sql()))
 def test_query_equals_sql(spark, con, name):
     frame, sql = contract.queries()[name](spark, SF_DIR), contract.oracle_sql()[name]
     spark_types, sql_types = types(frame, con, sql)
