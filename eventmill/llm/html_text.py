@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from eventmill.llm import text as T
 
-GAMMA, THRESHOLD, ARTICLE_THRESHOLD, LEAST_PAGES = 0.9, 0.2, 0.1, 8
+GAMMA, THRESHOLD, ARTICLE_THRESHOLD, LEAST_PAGES = 0.9, 0.1, 0.05, 8
 
 #: Fixed values of HTML: elements without content, with text that is no markup, and those that break a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -244,13 +244,14 @@ def presentation(tree: DataFrame) -> DataFrame:
 
 def unimportant(tree: DataFrame) -> DataFrame:
     """node, importance of the blocks to cut."""
-    hosts = tree.where("node = 0").groupBy("host").agg(F.count("*").alias("m")).where(F.col("m") >= LEAST_PAGES)
+    # Stored, as a join with a stored table can split a host's or a parent's rows, and one with an aggregate cannot.
+    hosts = T.written(tree.where("node = 0").groupBy("host").agg(F.count("*").alias("m")).where(F.col("m") >= LEAST_PAGES), "hosts")
     blocks = tree.where("style = 0 AND node <> 0").groupBy("node", "host", "parent", "article").agg(F.count("*").alias("k"))
     repeated = blocks.where("k > 1").join(hosts, "host")
     content = 1 - F.log("k") / F.log("m")
     limit = F.when(F.col("article"), ARTICLE_THRESHOLD).otherwise(THRESHOLD)
     maybe = repeated.withColumn("content", content).where(GAMMA * F.col("content") < limit)
-    parents = presentation(tree).withColumnRenamed("node", "parent")
+    parents = T.written(presentation(tree).withColumnRenamed("node", "parent"), "presentation")
     weighed = maybe.join(parents, "parent", "left")
     importance = (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0)) + GAMMA * F.col("content")
     return weighed.withColumn("importance", importance).where(F.col("importance") < limit).groupBy("node").agg(F.min("importance").alias("importance"))
