@@ -165,7 +165,8 @@ def group_nodes(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> Dat
     totals = members.groupBy("family").agg(F.count("*").alias("nodes"), F.sum("n_shingles").alias("shingles"))
     small = (F.col("nodes") <= FAMILY) & (F.col("shingles") <= FAMILY_SHINGLES)
     sized = members.join(totals, "family").select("family", "node", "key", "known", small.alias("small"))
-    texts = T.written(sized.join(keyed(docs), ["key", "known"]), "candidates")
+    # Always by shuffle: a plan that changes with the number of candidates would not tell how it grows.
+    texts = T.written(sized.join(keyed(docs).hint("merge"), ["key", "known"]), "candidates")
     labelled = T.written(texts.where("small").groupBy("family").applyInPandas(grouped(percent), "node binary, label binary"), "labelled")
     large = texts.where("not small").select("node", "text").dropDuplicates(["node"])
     if large.isEmpty():
