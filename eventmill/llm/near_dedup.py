@@ -191,7 +191,7 @@ def verdicts(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     doc_id = F.when(F.col("known"), F.col("key"))
     labels = group_nodes(docs, rows, percent)
     named = T.written(rows.drop("bands").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")).withColumn("doc_id", doc_id), "named")
-    least = named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least"))
+    least = T.written(named.where("n_shingles > 0").groupBy("label").agg(F.min("doc_id").alias("least")), "least")  # so that a large group's rows can be split
     component = F.when(F.col("n_shingles") > 0, F.col("least")).otherwise(F.col("doc_id"))
     found = named.join(least, "label", "left").withColumn("component_id", component)
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
