@@ -7,8 +7,9 @@ word's own (both read from the filter), with as much weight on the word's probab
 
 The filter grows with the distinct n-grams, BITS bits for each entry, up to MOST_BYTES, the bound of what is broadcast; beyond that all n-grams
 still enter, and the rate of false positives rises (`Filter.load` tells by how much). It is made in segments, one per shard of the n-grams,
-so no task holds more than its shard. The base score needs exact counts of single words. Those stay distributed: blocks of documents
-send their distinct words to the shards that hold the counts, and get the counts back.
+so no task holds more than its shard. In a shard, n-grams are told apart by 32-bit prints; shards do not grow, so neither do clashes.
+The base score needs exact counts of single words. Those stay distributed: blocks of documents send their distinct words to the
+shards that hold the counts, and get the counts back.
 
 Tokens are lowered words and one end per text, which is the first token's context too. A null or empty text is its end alone. Ids
 and texts may repeat; each row counts. A null id is trained on. Without training texts all counts are zero. Words are told apart by 64-bit hashes.
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from eventmill.llm import text as T
 
 END = 0x656E64
-BASE, BITS, HASHES, MOST_BYTES, PRIOR = 1.5, 12, 4, 1 << 28, 500.0
+BASE, BITS, HASHES, MOST_BYTES, PRIOR = 2.0, 8, 4, 1 << 28, 500.0
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
 BUFFER = 1 << 21
 
@@ -56,126 +57,131 @@ def levels(count: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Filter:
-    """Segments of bits; an n-gram's segment is fixed by its hash, and its places in it by its hash and level."""
+    """Bits in one segment per shard; an n-gram's segment is fixed by its hash, its places in it by its order, print and level."""
 
     bits: np.ndarray
-    segments: int
-    segment_bits: int
+    first: np.ndarray
+    size: np.ndarray
 
     @property
     def load(self) -> float:
-        return float(np.unpackbits(self.bits[: 1 << 20]).mean()) if len(self.bits) else 0.0
+        return float(np.unpackbits(self.bits[: 1 << 20]).mean())
 
-    def places(self, grams: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        first = (grams % np.uint64(self.segments)).astype(np.int64) * self.segment_bits
-        value = T.mix(grams + np.uint64(level * 0x9E3779B97F4A7C15 % (1 << 64)))
+    @staticmethod
+    def places(order: int, prints: np.ndarray, level: int, size: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
+        value = T.mix(prints.astype(np.uint64) + np.uint64((2 * level + order) * 0x9E3779B97F4A7C15 % (1 << 64)))
         step = value >> np.uint64(32) | np.uint64(1)
         for k in range(HASHES):
-            yield first + ((value + np.uint64(k) * step) % np.uint64(self.segment_bits)).astype(np.int64)
-
-    def has(self, grams: np.ndarray, level: int) -> np.ndarray:
-        alive = np.arange(len(grams))
-        for place in self.places(grams, level):
-            spot = place[alive]
-            alive = alive[(self.bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0]
-            if not len(alive):
-                break
-        out = np.zeros(len(grams), bool)
-        out[alive] = True
+            yield ((value + np.uint64(k) * step) % size).astype(np.int64)
+
+    def has(self, order: int, grams: np.ndarray, level: int) -> np.ndarray:
+        shard = (grams % np.uint64(len(self.size))).astype(np.int64)
+        out, first = np.ones(len(grams), bool), self.first[shard]
+        for place in self.places(order, prints(grams), level, self.size[shard]):
+            spot = first + place
+            out &= (self.bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
         return out
 
-    def counts(self, grams: np.ndarray) -> np.ndarray:
+    def counts(self, order: int, grams: np.ndarray) -> np.ndarray:
         """Quantised counts, by probing one level after another."""
-        level, left = np.zeros(len(grams), np.int64), np.arange(len(grams))
-        while len(left) and len(self.bits):
-            left = left[self.has(grams[left], int(level[left[0]]) + 1)]
-            level[left] += 1
+        level, left, step = np.zeros(len(grams), np.int64), np.arange(len(grams)), 0
+        while len(left):
+            step += 1
+            left = left[self.has(order, grams[left], step)]
+            level[left] = step
         return np.where(level > 0, BASE ** (level - 1.0), 0.0)
 
 
-def merged(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    values, which, number = np.unique(hashes, return_inverse=True, return_counts=True)
-    return values, number if counts is None else np.bincount(which, counts, len(values)).astype(np.int64)
+def prints(grams: np.ndarray) -> np.ndarray:
+    return (grams >> np.uint64(32)).astype(np.uint32)
+
+
+def merged(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    found, which = np.unique(values, return_inverse=True)
+    return found, np.bincount(which, counts, len(found)).astype(np.int64)
+
+
+def by_shard(values: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
+    """The order that puts hashes by shard and value, and where each shard begins."""
+    shard = (values % np.uint64(shards)).astype(np.int64)
+    order = np.lexsort((values, shard))
+    return order, np.searchsorted(shard[order], np.arange(shards + 1))
 
 
 def counted(shards: int):
     """A task's n-gram counts, dealt to shards by hash: one row for each shard, order and buffer."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[list[np.ndarray]] = [[], []]
+        size = 0
         for frame in frames:
-            held: list[list[np.ndarray]] = [[], []]
-            size = 0
             for _, texts in T.batches(T.text_column(frame)):
                 hashes, at = tokens(texts)
+                pairs = bigrams(hashes, at)[1]
                 held[0].append(hashes)
-                held[1].append(bigrams(hashes, at)[1])
+                held[1].append(pairs % np.uint64(shards) << np.uint64(32) | pairs >> np.uint64(32))
                 size += len(hashes)
                 if size > BUFFER:
                     yield dealt(held, shards)
                     held, size = [[], []], 0
-            if size:
-                yield dealt(held, shards)
+        if size:
+            yield dealt(held, shards)
 
     return run
 
 
 def dealt(held: list[list[np.ndarray]], shards: int) -> pd.DataFrame:
     rows = []
-    for order, parts in enumerate(held, 1):
-        values, counts = merged(np.concatenate(parts))
-        shard = (values % np.uint64(shards)).astype(np.int64)
-        by = np.argsort(shard, kind="stable")
-        edges = np.searchsorted(shard[by], np.arange(shards + 1))
-        rows += [(s, order, values[by[a:b]].tobytes(), counts[by[a:b]].astype(np.uint32).tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+    words, number = np.unique(np.concatenate(held[0]), return_counts=True)
+    order, edges = by_shard(words, shards)
+    words, number = words[order], number[order].astype(np.uint32)
+    rows += [(s, 1, words[a:b].tobytes(), number[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+    pairs, number = np.unique(np.concatenate(held[1]), return_counts=True)
+    edges = np.searchsorted(pairs, np.arange(shards + 1, dtype=np.uint64) << np.uint64(32))
+    own, number = pairs.astype(np.uint32), number.astype(np.uint32)
+    rows += [(s, 2, own[a:b].tobytes(), number[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
     return pd.DataFrame(rows, columns=["shard", "n", "grams", "counts"])
 
 
-def shard_counts(group: pd.DataFrame) -> pd.DataFrame:
-    """All counts of a shard, with how many entries they make in the filter."""
-    rows = []
-    for order, part in group.groupby("n"):
-        grams = np.frombuffer(b"".join(part["grams"]), np.uint64)
-        values, counts = merged(grams, np.frombuffer(b"".join(part["counts"]), np.uint32))
-        rows.append((part["shard"].iloc[0], order, values.tobytes(), counts.tobytes(), len(values), int(counts.sum()), int(levels(counts).sum())))
-    return pd.DataFrame(rows, columns=["shard", "n", "grams", "counts", "distinct", "total", "entries"])
-
-
-def built(shards: int, segment_bits: int):
-    """The filter's segment of a shard."""
+def built(most_bits: int):
+    """A shard's words with their exact counts, and its segment of the filter, of most_bits at most."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        shard = int(group["shard"].iloc[0])
-        own = Filter(np.zeros(0, np.uint8), shards, segment_bits)
-        bits = np.zeros(segment_bits, np.uint8)
-        for grams, counts in zip(group["grams"], group["counts"], strict=True):
-            values = np.frombuffer(grams, np.uint64)
-            top = levels(np.frombuffer(counts, np.int64))
-            for level in range(1, int(top.max(initial=0)) + 1):
-                for place in own.places(values[top >= level], level):
-                    bits[place - shard * segment_bits] = 1
-        return pd.DataFrame({"shard": [shard], "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+        found = []
+        for n, kind in ((1, np.uint64), (2, np.uint32)):
+            own = group[group["n"] == n]
+            found.append(merged(np.frombuffer(b"".join(own["grams"]), kind), np.frombuffer(b"".join(own["counts"]), np.uint32)))
+        top = [levels(counts) for _, counts in found]
+        size = max(64, -(-min(most_bits, BITS * int(sum(t.sum() for t in top))) // 64) * 64)
+        bits = np.zeros(size, np.uint8)
+        for order, (values, level) in enumerate(zip((prints(found[0][0]), found[1][0]), top, strict=True)):
+            for at in range(1, int(level.max(initial=0)) + 1):
+                for place in Filter.places(order, values[level >= at], at, np.uint64(size)):
+                    bits[place] = 1
+        words, counts = found[0]
+        row = (group["shard"].iloc[0], words.tobytes(), counts.tobytes(), len(words), int(counts.sum()), np.packbits(bits, bitorder="little").tobytes())
+        return pd.DataFrame([row], columns=["shard", "words", "counts", "distinct", "total", "bits"])
 
     return run
 
 
 class Model:
-    """Filter, number of training tokens and of distinct ones; the filter reaches the driver once, MOST_BYTES at most."""
+    """Exact word counts by shard, stored; the number of training tokens and of distinct ones; and the filter, which reaches the driver once."""
 
     def __init__(self, docs: DataFrame, shards: int, most_bytes: int = MOST_BYTES):
         training = docs.where(~F.col("held_out")).select("text")
         parts = training.mapInPandas(counted(shards), "shard long, n int, grams binary, counts binary")
-        schema = "shard long, n int, grams binary, counts binary, distinct long, total long, entries long"
-        self.shards, self.table = shards, T.written(parts.groupBy("shard").applyInPandas(shard_counts, schema), "ngram_counts")
-        found = {r["n"]: r for r in self.table.groupBy("n").agg(F.sum("distinct").alias("distinct"), F.sum("total").alias("total"), F.sum("entries").alias("entries")).collect()}
-        self.tokens, self.distinct = (found[1]["total"], found[1]["distinct"]) if 1 in found else (0, 0)
-        entries = sum(r["entries"] for r in found.values())
-        bits = min(most_bytes * 8, entries * BITS) // shards
-        segment = max(1024, -(-bits // 64) * 64)
-        pieces = self.table.groupBy("shard").applyInPandas(built(shards, segment), "shard long, bits binary")
-        filled = np.zeros(shards * segment // 8, np.uint8)
-        for row in pieces.collect():
-            filled[row["shard"] * segment // 8 : (row["shard"] + 1) * segment // 8] = np.frombuffer(row["bits"], np.uint8)
-        self.filter = Filter(filled, shards, segment)
+        schema = "shard long, words binary, counts binary, distinct long, total long, bits binary"
+        self.table = T.written(parts.groupBy("shard").applyInPandas(built(most_bytes * 8 // shards), schema), "ngram_counts")
+        rows = self.table.select("shard", "distinct", "total", "bits").collect()
+        self.tokens, self.distinct = sum(r["total"] for r in rows), sum(r["distinct"] for r in rows)
+        size = np.full(shards, 64, np.uint64)  # of a shard without n-grams: the 64 bits of 0 at the end
+        first = np.full(shards, sum(len(r["bits"]) for r in rows) * 8, np.int64)
+        at = 0
+        for row in rows:
+            first[row["shard"]], size[row["shard"]] = at, len(row["bits"]) * 8
+            at += len(row["bits"]) * 8
+        self.filter = Filter(np.frombuffer(b"".join([bytes(r["bits"]) for r in rows] + [bytes(8)]), np.uint8), first, size)
 
 
 def score(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
@@ -187,28 +193,35 @@ def score(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
     rows = docs.select(block.alias("block"), doc_id.alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text"))
     model = Model(rows, shards, most_bytes)
     train, distinct = model.tokens, model.distinct
-    table = docs.sparkSession.sparkContext.broadcast((model.filter.bits, model.filter.segments, model.filter.segment_bits))
+    table = docs.sparkSession.sparkContext.broadcast((model.filter.bits, model.filter.first, model.filter.size))
     floor = train + 0.5 * (distinct + 1)
 
+    def block_words(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        """A block's distinct words by shard, and where each shard's begin."""
+        words = np.unique(np.concatenate([np.unique(tokens(texts)[0]) for _, texts in T.batches(T.text_column(frame))]))
+        order, edges = by_shard(words, shards)
+        return words[order], edges
+
     def asked(frame: pd.DataFrame) -> pd.DataFrame:
-        found = [np.unique(tokens(texts)[0]) for _, texts in T.batches(T.text_column(frame))]
-        words = dealt([[np.unique(np.concatenate(found))]], shards)
-        return words.assign(block=frame["block"].iloc[0])[["shard", "block", "grams"]]
+        words, edges = block_words(frame)
+        rows = [(s, frame["block"].iloc[0], words[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
+        return pd.DataFrame(rows, columns=["shard", "block", "words"])
 
     def answered(group: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        words = np.frombuffer(b"".join(counts["grams"]), np.uint64)
+        words = np.frombuffer(b"".join(counts["words"]), np.uint64)
         number = np.frombuffer(b"".join(counts["counts"]), np.int64)
         out = []
-        for grams in group["grams"]:
-            own = np.frombuffer(grams, np.uint64)
+        for raw in group["words"]:
+            own = np.frombuffer(raw, np.uint64)
             at = np.minimum(np.searchsorted(words, own), max(0, len(words) - 1))
             out.append((np.where(words[at] == own, number[at], 0) if len(words) else np.zeros(len(own), np.int64)).tobytes())
-        return pd.DataFrame({"block": group["block"], "grams": group["grams"], "counts": out})
+        return pd.DataFrame({"block": group["block"], "shard": group["shard"], "counts": out})
 
     def scored(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        words = np.frombuffer(b"".join(known["grams"]), np.uint64)
+        words, _ = block_words(frame)
+        number = np.frombuffer(b"".join(known.sort_values("shard")["counts"]), np.int64)
         order = np.argsort(words)
-        words, number = words[order], np.frombuffer(b"".join(known["counts"]), np.int64)[order]
+        words, number = words[order], number[order]
         parts, read_counts = [], Filter(*table.value).counts
         for _, texts in T.batches(T.text_column(frame)):
             hashes, at = tokens(texts)
@@ -218,20 +231,20 @@ def score(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
             base = np.log10((exact + 0.5) / floor)
             context, pairs = bigrams(hashes, at)
             single, which = np.unique(hashes, return_inverse=True)
-            seen = read_counts(single)
+            seen = read_counts(0, single)
             position = np.minimum(np.searchsorted(single, context), len(single) - 1)
             unigram = (seen[which] + 0.5) / floor
-            before = np.where(single[position] == context, seen[position], read_counts(np.array([END], np.uint64))[0])
-            together = np.minimum(read_counts(pairs), np.minimum(before, seen[which]))
+            before = np.where(single[position] == context, seen[position], read_counts(0, np.array([END], np.uint64))[0])
+            together = np.minimum(read_counts(1, pairs), np.minimum(before, seen[which]))
             model_score = np.log10((together + PRIOR * unigram) / (before + PRIOR))
             total = [np.bincount(text, x, len(texts)) for x in (exact > 0, base, model_score)]
             parts.append(pd.DataFrame({"n_tokens": size, "n_known": total[0].astype(np.int64), "base_score": total[1], "score": np.minimum(total[2], 0)}))
         return pd.concat([frame[["doc_id", "held_out"]].reset_index(drop=True), pd.concat(parts, ignore_index=True)], axis=1)
 
     by_block = rows.groupBy("block")
-    asking = by_block.applyInPandas(asked, "shard long, block long, grams binary")
-    counts = model.table.where("n = 1").select("shard", "grams", "counts")
-    answers = asking.groupBy("shard").cogroup(counts.groupBy("shard")).applyInPandas(answered, "block long, grams binary, counts binary")
+    asking = by_block.applyInPandas(asked, "shard long, block long, words binary")
+    counts = model.table.select("shard", "words", "counts")
+    answers = asking.groupBy("shard").cogroup(counts.groupBy("shard")).applyInPandas(answered, "block long, shard long, counts binary")
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     found = by_block.cogroup(answers.groupBy("block")).applyInPandas(scored, schema)
     return found.select(
