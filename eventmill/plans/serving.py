@@ -36,7 +36,7 @@ def most_active_hours(fact: DataFrame) -> DataFrame:
 
 
 def event_type_breakdown(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count")).orderBy(F.desc("event_count"))
+    return fact.groupBy("event_type").agg(F.count(F.lit(1)).alias("event_count")).orderBy(F.desc("event_count"), "event_type")
 
 
 def total_events(agg: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def read_events(
         return frame.withColumn("land_date", _land_date(days))
     schema = _with_corrupt(RAW_SCHEMA) if mode == "PERMISSIVE" else RAW_SCHEMA
     options = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
-    lines = _load(spark.read.format("text"), raw_dir, days).where(F.trim("value") != "")
+    lines = _load(spark.read.format("text"), raw_dir, days).where(F.col("value").rlike(r"\S"))
     return (
         lines.select("value", _land_date(days).alias("land_date"))
         .repartition(spread)
@@ -131,7 +131,7 @@ def read_envelopes(
         # The low 33 bits of the generated id count a task's rows.
         keys = F.when(F.monotonically_increasing_id().bitwiseAND(0x1FFFFFFFF) < witnesses, keys)
     return (
-        lines.where(F.trim("value") != "")
+        lines.where(F.col("value").rlike(r"\S"))
         .select(
             F.from_json("value", LIGHT_SCHEMA, {"mode": mode}).alias("light"),
             keys.alias("keys"),
@@ -157,7 +157,7 @@ def sample_lines(spark: SparkSession, raw_dir: str, day: date, n: int = SAMPLE_S
         raise MissingDayError(f"no landed files for {day} under {raw_dir}")
     heads = [
         spark.read.text(file.path)
-        .where(F.trim("value") != "")
+        .where(F.col("value").rlike(r"\S"))
         .select(F.lit(rank).alias("rank"), F.monotonically_increasing_id().alias("line"), "value")
         .limit(n)
         for rank, file in enumerate(files)

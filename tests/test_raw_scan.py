@@ -103,3 +103,15 @@ def test_freshness(spark, scratch):
     assert raw.freshness(light, now, 52 * minute, 60 * minute).first().status == "warn"
     assert raw.freshness(light, now, minute, 52 * minute).first().status == "error"
     assert raw.freshness(light.where("id is null"), now, minute).first().status == "warn"
+
+
+def test_blank_lines_are_no_records_for_any_reader(spark, scratch):
+    land(scratch, DAY, 0, [event(0), "\t", " \t ", "", event(1)])
+    readers = [
+        raw.read_events(spark, scratch, [DAY]),
+        raw.read_events(spark, scratch, [DAY], spread=2),
+        raw.read_light(spark, scratch, [DAY]),
+        raw.read_envelopes(spark, scratch, [DAY]),
+        raw.sample_lines(spark, scratch, DAY),
+    ]
+    assert [r.count() for r in readers] == [2] * 5
