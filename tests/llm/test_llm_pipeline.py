@@ -1,0 +1,44 @@
+"""Every stage of the pipeline beside its plain version, each on its own input."""
+
+from collections import defaultdict
+
+import brute
+import corpus_pipeline
+
+from eventmill.llm import text as T
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def rows_of(docs):
+    return sorted(((r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()), key=repr)
+
+
+def test_stages(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    frames = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(T.written(stage(spark, frames[-1], SF_DIR), name))
+    assert all(f.columns == docs.columns for f in frames[:-1])
+    given, good, distinct, apart, mix = map(rows_of, frames[:-1])
+    failed = {x[0] for x in brute.quality(given) if x[6]}
+    assert set(good) <= set(given) and not failed & {i for i, _ in good}
+    groups = defaultdict(list)
+    for i, t in good:
+        groups[(t or "").translate(brute.LOWER)].append((i, t))
+    assert distinct == sorted((max(g) for g in groups.values()), key=repr)
+    assert apart == [d for d, x in zip(distinct, brute.near(distinct, corpus_pipeline.NEAR_PERCENT)) if x[3]]
+    assert set(mix) <= set(apart) and max(map(mix.count, mix)) <= 2
+    assert {r["doc_id"] for r in frames[-1].collect()} == {i for i, _ in mix}
+    assert rows_of(corpus_pipeline.run(spark, SF_DIR).withColumn("text", T.F.lit(None))) == rows_of(frames[-1].withColumn("text", T.F.lit(None)))
+
+
+def test_rules_of_the_subpackage():
+    import pathlib
+    import re
+
+    root = pathlib.Path(corpus_pipeline.__file__).parent
+    for file in [*root.glob("eventmill/llm/*.py"), root / "corpus_pipeline.py"]:
+        assert not re.search(r"localCheckpoint|crossJoin|\.rdd\b|except ImportError", file.read_text()), file
+    for name in ("exact_dedup", "mixing", "licenses"):
+        assert not re.search(r"InPandas|udf|numpy|pandas", (root / f"eventmill/llm/{name}.py").read_text()), name
