@@ -25,5 +25,9 @@ class StragglerError(RuntimeError):
     """A day's files hold rows of another day and the load is strict."""
 
 
+class LoadMismatchError(RuntimeError):
+    """The records counted before a load are not the rows it would store."""
+
+
 class ModelTestError(RuntimeError):
     """At least one model test found failing rows."""

@@ -7,18 +7,19 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.errors import StragglerError
+from eventmill.errors import LoadMismatchError, StragglerError
 from eventmill.operators.gate import belongs_to_land_date
+from eventmill.sinks import ledger
 from eventmill.sinks.tables import (
     DEFAULT_RAW_TABLE,
     REJECTS_SUFFIX,
-    drop_days,
     ensure_raw_table,
     gather_days,
-    overwrite_days,
+    replace_days,
+    staged,
 )
 from eventmill.sources.raw import CORRUPT, LandedSize, landed_size, read_events, read_light
 
@@ -27,6 +28,8 @@ OVERSIZED_FILE_BYTES = 1024 * 1024 * 1024
 SPREAD_BYTES = 64 * 1024 * 1024
 # Below this average, the scan packs several files into one task.
 SHARED_TASK_FILE_BYTES = 32 * 1024 * 1024
+# What becomes of a parsed line.
+KEPT, STRAY, MALFORMED = "kept", "stray", "malformed"
 
 
 @dataclass(frozen=True)
@@ -74,6 +77,10 @@ def load_days(
     anything is written; otherwise they go to the rejects table under their landing day.
     The gate has counted the days already, so a pipeline run passes ``counted`` and saves a scan.
 
+    The parsed rows are stored beside the table first and their counts compared with the counts made before;
+    only then are the days replaced. Whatever fails earlier leaves the old rows where they were. A tolerant load
+    (``PERMISSIVE``) has no count to compare with, because only the full parse tells which lines are malformed.
+
     Files of usual size are parsed and written by the task that reads them, without a shuffle. A file
     far above that is dealt out first, because gzip cannot be split. Files so small that a task reads
     several, of any day, are gathered by day, or each task would write a file into each day.
@@ -82,58 +89,57 @@ def load_days(
     size = size or landed_size(spark, raw_dir, days)
     spread = math.ceil(size.total / SPREAD_BYTES) if size.largest > OVERSIZED_FILE_BYTES else None
     gathered = spread is not None or size.total < size.files * SHARED_TASK_FILE_BYTES
-    events = read_events(spark, raw_dir, days, mode, spread)
-    counted = dict(count_days(spark, raw_dir, days, mode) if counted is None else counted)
-    rows = {d: counted.get(d, DayRows(0, 0)) for d in days}
-    rejected = {d: r.rejected for d, r in rows.items() if r.rejected}
-    if strict and rejected:
-        detail = ", ".join(f"{d}: {n}" for d, n in sorted(rejected.items()))
-        raise StragglerError(f"records of another day in the landed files ({detail})")
+    tolerant = mode == "PERMISSIVE"
+    if not tolerant:
+        counted = dict(count_days(spark, raw_dir, days, mode) if counted is None else counted)
+        rejected = {d: n.rejected for d, n in counted.items() if n.rejected}
+        if strict:
+            _refuse_strays(rejected)
 
     ensure_raw_table(spark, table)
     rejects = table + REJECTS_SUFFIX
-    tolerant = mode == "PERMISSIVE"
+    events = read_events(spark, raw_dir, days, mode, spread).withColumnRenamed("land_date", "event_date")
+    mine = F.col("created_at").isNull() | (F.col("event_date") == F.to_date("created_at"))
+    fate = F.when(mine, KEPT).otherwise(STRAY)
     if tolerant:
-        # Only the full parse tells which lines are malformed, so no count made before it is exact:
-        # the days are emptied first and counted afterwards.
-        events = events.where(F.col(CORRUPT).isNull())
-        drop_days(spark, table, days)
-        drop_days(spark, rejects, days)
-    dated = events.withColumnRenamed("land_date", "event_date")
-    mine = F.col("event_date") == F.to_date("created_at")
-    written = Observation("rows_written")
-    kept = dated.where(F.col("created_at").isNull() | mine)
-    kept = (gather_days(kept, "event_date") if gathered and len(days) > 1 else kept).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
-    overwrite_days(kept, table, "event_date", ["type"], empty_days=[d for d, r in rows.items() if not r.in_day])
-
-    clean = [d for d, r in rows.items() if not r.rejected]
-    if rejected or tolerant:
-        strays = gather_days(dated.where(~mine), "event_date")
-        overwrite_days(strays, rejects, "event_date", ["type"], empty_days=[] if tolerant else clean)
-    else:
-        drop_days(spark, rejects, clean)
-    if tolerant:
-        return LoadResult(written.get["rows"], _stored(spark, table, days), _stored(spark, rejects, days))
-    loaded = {d: r.in_day for d, r in rows.items()}
-    if written.get["rows"] != sum(loaded.values()):
-        raise StragglerError(f"counted {sum(loaded.values())} records of {days}, wrote {written.get['rows']}")
-    return LoadResult(written.get["rows"], loaded, rejected)
+        fate = F.when(F.col(CORRUPT).isNotNull(), MALFORMED).otherwise(fate)
+    # The fate is a column, not a filter: a filter would be moved below the parse and parse each line again.
+    parsed = events.select(*spark.table(table).columns, fate.alias("fate"))
+    parsed = gather_days(parsed, "event_date") if gathered and len(days) > 1 else parsed
+    with staged(parsed, table, "fate", "event_date") as source:
+        stored = _stored(spark, source)
+        loaded, strays = ({d: n for (f, d), n in stored.items() if f == wanted} for wanted in (KEPT, STRAY))
+        if tolerant:
+            if strict:
+                _refuse_strays(strays)
+        else:
+            wanted = {d: DayRows(loaded.get(d, 0) + strays.get(d, 0), loaded.get(d, 0)) for d in days}
+            off = [d for d in days if wanted[d] != counted.get(d, DayRows(0, 0))]
+            if off:
+                was = sum(counted[d].total for d in off if d in counted)
+                raise LoadMismatchError(f"counted {was} records of {off}, parsed {sum(wanted[d].total for d in off)}")
+            loaded = {d: loaded.get(d, 0) for d in days}
+        # Noted on both sides of the change: marts built from half of it are due again.
+        ledger.note_load(spark, table, days)
+        replace_days(spark, source, table, "event_date", ["type"], days, fate=KEPT)
+        replace_days(spark, source, rejects, "event_date", ["type"], days, fate=STRAY)
+        ledger.note_load(spark, table, days)
+    return LoadResult(sum(loaded.values()), loaded, strays)
+
+
+def _refuse_strays(rejected: Mapping[date, int]) -> None:
+    if rejected:
+        detail = ", ".join(f"{d}: {n}" for d, n in sorted(rejected.items()))
+        raise StragglerError(f"records of another day in the landed files ({detail})")
 
 
-def _stored(spark: SparkSession, table: str, days: Sequence[date]) -> dict[date, int]:
-    """Rows per day, from file footers."""
-    held = spark.table(table).where(F.col("event_date").isin(list(days))).groupBy("event_date").count()
-    return {row.event_date: row["count"] for row in held.collect()}
+def _stored(spark: SparkSession, source: str) -> dict[tuple[str, date], int]:
+    """Rows per fate and day, from file footers."""
+    held = spark.table(source).groupBy("fate", "event_date").count()
+    return {(row.fate, row.event_date): row["count"] for row in held.collect()}
 
 
 def quarantine(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> DataFrame:
     """Malformed lines of whole days, as (land_date, line)."""
-    # The reader refuses a plan that needs nothing but the corrupt column, so id rides along.
-    return (
-        read_events(spark, raw_dir, days, mode="PERMISSIVE")
-        .select("land_date", "id", F.col(CORRUPT).alias("line"))
-        .where(F.col("line").isNotNull())
-        .select("land_date", "line")
-    )
+    events = read_events(spark, raw_dir, days, mode="PERMISSIVE")
+    return events.select("land_date", F.col(CORRUPT).alias("line")).where(F.col("line").isNotNull())

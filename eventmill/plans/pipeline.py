@@ -21,6 +21,7 @@ from eventmill.operators.model_tests import run_model_tests
 from eventmill.plans import models
 from eventmill.plans.load import DayRows, LoadResult, load_days
 from eventmill.session import local_frame, sized_shuffles
+from eventmill.sinks import ledger
 from eventmill.sinks.tables import (
     DEFAULT_RAW_TABLE,
     drop_days,
@@ -77,13 +78,16 @@ def refresh_models(
 ) -> dict[str, DataFrame]:
     """Bring the mart tables up to date with the raw table at the cost of the changed days only.
 
-    Each table is settled by itself: ``days`` and days it lacks are built, days the raw table no
-    longer has are dropped. A first run therefore builds everything, and a run after a failed one picks
-    up what is missing. The result equals a full build, since a fact depends on one raw row, a
-    rollup row on one day, and a dimension on each day's sightings.
+    Each table is settled by itself: ``days``, days it lacks and days loaded again since it was built (by the
+    ledger's load ids) are built, days the raw table no longer has are dropped. A first run therefore builds
+    everything, and a run after a failed one picks up what is missing or stale. The result equals a full build,
+    since a fact depends on one raw row, a rollup row on one day, and a dimension on each day's sightings.
     """
     raw = spark.table(raw_table)
     raw_days = set(partition_days(spark, raw_table))
+    loads = ledger.loads(spark, raw_table)
+    builds = _builds(target, prefix)
+    settled: dict[str, dict[date, str]] = {}
     for layer in ("intermediate", "marts"):
         ensure_database(spark, namespace(target, layer, prefix))
     stg = materialize("stg_events", models.stg_events(raw), target, "view", prefix=prefix)
@@ -92,13 +96,16 @@ def refresh_models(
     def settle(name: str, partition: str, cluster: list[str], build) -> DataFrame:
         table = relation(target, name, prefix)
         held = set(partition_days(spark, table))
-        due = (set(days) | (raw_days - held)) & raw_days
+        built_from = ledger.newest(spark, builds, name)
+        stale = {d for d, load in loads.items() if built_from.get(d) != load}
+        due = (set(days) | (raw_days - held) | stale) & raw_days
         if held - raw_days:
             drop_days(spark, table, sorted(held - raw_days))
         if due:
             rows = build(sorted(due))
             # Rows of a single day cannot scatter over days: no task writes more than one file.
             put_days(gather_days(rows, partition) if len(due) > 1 else rows, table, partition, cluster, due)
+        settled[name] = {d: loads[d] for d in due if d in loads}
         return spark.table(table)
 
     def flattened_of(due: list[date]) -> DataFrame:
@@ -128,16 +135,26 @@ def refresh_models(
         table = relation(target, dimension, prefix)
         replace_table(latest_per_key(seen, key, value, "created_at"), table)
         built[dimension] = spark.table(table)
+    ledger.note(spark, builds, settled)
     return built
 
 
+def _builds(target: str, prefix: str) -> str:
+    """The ledger of what each mart day was built from."""
+    return f"{namespace(target, 'marts', prefix)}.mart_builds"
+
+
 def rebuild_models(
     spark: SparkSession, raw_table: str = DEFAULT_RAW_TABLE, target: str = "prod", prefix: str = ""
 ) -> dict[str, DataFrame]:
     """Full refresh: every model from the whole raw table."""
     for state, _, _ in DIMENSIONS.values():
         spark.sql(f"DROP TABLE IF EXISTS {relation(target, state, prefix)}")
-    return build_models(spark, spark.table(raw_table), target, prefix)
+    loads = ledger.loads(spark, raw_table)
+    built = build_models(spark, spark.table(raw_table), target, prefix)
+    if materialization(target, "fct_events") == "table":
+        ledger.note(spark, _builds(target, prefix), {"fct_events": loads, "agg_daily_repo_activity": loads})
+    return built
 
 
 @dataclass(frozen=True)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+import uuid
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.schema import RAW_SCHEMA, RETENTION_DAYS
-from eventmill.session import setting
+from eventmill.session import pin
 
 DEFAULT_RAW_TABLE = "raw_events.events"
 REJECTS_SUFFIX = "_rejects"
@@ -56,21 +58,48 @@ def expire_days(spark: SparkSession, table: str, as_of: date, keep_days: int = R
     return expired
 
 
-def overwrite_days(
-    df: DataFrame, table: str, partition: str, cluster: Sequence[str], empty_days: Sequence[date] = ()
-) -> None:
-    """Replace exactly the days present in ``df``, plus ``empty_days``, and no other.
+@contextmanager
+def staged(df: DataFrame, table: str, *partitions: str) -> Iterator[str]:
+    """``df`` as a table of its own beside ``table``, gone afterwards; ``table`` itself is not touched.
 
-    Rows are ordered by day inside each task, so a task writing several days keeps one file open
-    at a time, and by the cluster columns inside a day, so row groups can be skipped.
+    What is checked here is what is copied on: a failure before the copy leaves the old rows in place.
     """
     spark = df.sparkSession
-    columns = spark.table(table).columns
-    ordered = df.select(*columns).sortWithinPartitions(partition, *cluster)
-    # insertInto takes the overwrite mode from the session; as a writer option it is ignored.
-    with setting(spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+    name = f"{table}_staged_{uuid.uuid4().hex[:12]}"
+    try:
+        df.write.format("parquet").partitionBy(*partitions).saveAsTable(name)
+        yield name
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def replace_days(
+    spark: SparkSession, source: str, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], **fixed
+) -> None:
+    """Make exactly ``days`` of ``table`` equal a stored table's rows; ``fixed`` are equalities the rows must meet.
+
+    All days are one job, and each keeps its old rows until the job commits. (A static partition overwrite deletes
+    a day before it writes it.) The overwrite mode is a session setting, so it is set in a session that does nothing
+    else: no load running beside this one can see it or set it back.
+
+    Rows are ordered by day inside each task, so a task writing several days keeps one file open at a time, and by
+    the cluster columns inside a day, so row groups can be skipped.
+    """
+    days = sorted(set(days))
+    if not days:
+        return
+    writing = pin(spark.newSession())
+    writing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    rows = writing.table(source).where(F.col(partition).isin(days))
+    for column, value in fixed.items():
+        rows = rows.where(F.col(column) == value)
+    held = {row[0] for row in rows.select(partition).distinct().collect()}
+    if held:
+        ordered = rows.select(*writing.table(table).columns).sortWithinPartitions(partition, *cluster)
         ordered.write.mode("overwrite").insertInto(table)
-    drop_days(spark, table, empty_days)
+    # A day without rows would survive a dynamic overwrite.
+    drop_days(spark, table, [d for d in days if d not in held])
+    spark.catalog.refreshTable(table)
 
 
 def put_days(df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date]) -> None:
@@ -79,11 +108,8 @@ def put_days(df: DataFrame, table: str, partition: str, cluster: Sequence[str],
     if not spark.catalog.tableExists(table):
         replace_table(df, table, partition, cluster)
         return
-    emptied = set(days) & set(partition_days(spark, table))
-    if emptied:
-        # A day that held rows and has none now would survive a dynamic overwrite.
-        emptied -= {row[0] for row in df.select(partition).distinct().collect()}
-    overwrite_days(df, table, partition, cluster, sorted(emptied))
+    with staged(df, table, partition) as source:
+        replace_days(spark, source, table, partition, cluster, days)
 
 
 def replace_table(

@@ -23,7 +23,7 @@ from eventmill.schema import RAW_SCHEMA, SAMPLE_SIZE
 from eventmill.sources.landing import day_dir, day_files, finished_files, is_missing_path
 
 CORRUPT = "_corrupt_record"
-LIGHT_SCHEMA = "id string, type string, created_at string"
+LIGHT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "type", "created_at")])
 PATH_DAY = re.compile(r"/(\d{4}/\d{2}/\d{2})/\d{1,2}\.json\.gz")
 
 
@@ -52,15 +52,15 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _json_reader(spark: SparkSession, schema: T.StructType, mode: str):
-    if mode == "PERMISSIVE":
-        schema = _with_corrupt(schema)
-    return (
-        spark.read.format("json")
-        .schema(schema)
-        .option("mode", mode)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
+def _lines(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> DataFrame:
+    """The records of whole days as text: every line that holds more than white space is one, none other is."""
+    lines = _load(spark.read.format("text"), raw_dir, days)
+    return lines.where(F.col("value").rlike(r"\S")).select("value", _land_date(days).alias("land_date"))
+
+
+def _parsed(schema: T.StructType, mode: str) -> Column:
+    """The one parse of a line, whoever reads it: an object is a record, anything else is malformed."""
+    return F.from_json("value", schema, {"mode": mode, "columnNameOfCorruptRecord": CORRUPT})
 
 
 def read_events(
@@ -69,21 +69,14 @@ def read_events(
     """Typed raw records of whole days, with the day they landed under as ``land_date``.
 
     ``FAILFAST`` stops at a malformed line, ``PERMISSIVE`` keeps it in ``_corrupt_record``.
-    ``spread`` deals the lines out over that many tasks before they are parsed. It costs a shuffle of
-    the text and pays off only where one file is far larger than the others.
+    ``spread`` deals the lines out over that many tasks before they are parsed, and changes nothing else. It costs
+    a shuffle of the text and pays off only where one file is far larger than the others.
     """
-    if spread is None:
-        frame = _load(_json_reader(spark, RAW_SCHEMA, mode), raw_dir, days)
-        return frame.withColumn("land_date", _land_date(days))
+    lines = _lines(spark, raw_dir, days)
+    if spread is not None:
+        lines = lines.repartition(spread)
     schema = _with_corrupt(RAW_SCHEMA) if mode == "PERMISSIVE" else RAW_SCHEMA
-    options = {"mode": mode, "columnNameOfCorruptRecord": CORRUPT}
-    lines = _load(spark.read.format("text"), raw_dir, days).where(F.col("value").rlike(r"\S"))
-    return (
-        lines.select("value", _land_date(days).alias("land_date"))
-        .repartition(spread)
-        .select(F.from_json("value", schema, options).alias("event"), "land_date")
-        .select("event.*", "land_date")
-    )
+    return lines.select(_parsed(schema, mode).alias("event"), "land_date").select("event.*", "land_date")
 
 
 @dataclass(frozen=True)
@@ -102,13 +95,10 @@ def landed_size(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> Land
 
 def read_light(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST") -> DataFrame:
     """Only id, type and created_at of whole days; an unreadable created_at is null."""
-    schema = T.StructType.fromDDL(LIGHT_SCHEMA)
-    frame = _load(_json_reader(spark, schema, mode), raw_dir, days)
-    return frame.select(
-        "id",
-        "type",
-        F.col("created_at").try_cast("timestamp").alias("created_at"),
-        _land_date(days).alias("land_date"),
+    return (
+        _lines(spark, raw_dir, days)
+        .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), "land_date")
+        .select("light.id", "light.type", F.col("light.created_at").try_cast("timestamp").alias("created_at"), "land_date")
     )
 
 
@@ -125,21 +115,16 @@ def read_envelopes(
     the records carry it. Listing a record's keys takes a second look at its text; with ``witnesses``
     only the first so many records of each task get one and the others have null keys.
     """
-    lines = _load(spark.read.format("text"), raw_dir, days)
     keys = F.json_object_keys("value")
     if witnesses is not None:
         # The low 33 bits of the generated id count a task's rows.
         keys = F.when(F.monotonically_increasing_id().bitwiseAND(0x1FFFFFFFF) < witnesses, keys)
     return (
-        lines.where(F.col("value").rlike(r"\S"))
-        .select(
-            F.from_json("value", LIGHT_SCHEMA, {"mode": mode}).alias("light"),
-            keys.alias("keys"),
-            _land_date(days).alias("land_date"),
-        )
+        _lines(spark, raw_dir, days)
+        .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), keys.alias("keys"), "land_date")
         .select(
-            F.col("light.id").alias("id"),
-            F.col("light.type").alias("type"),
+            "light.id",
+            "light.type",
             F.col("light.created_at").try_cast("timestamp").alias("created_at"),
             "keys",
             "land_date",

@@ -58,6 +58,25 @@ def test_days_that_leave_the_raw_table_leave_the_marts(spark, scratch, raw_table
     assert [r.repo_id for r in left["dim_repo"].collect()] == [77]
 
 
+def test_a_reload_that_never_reached_the_marts_is_made_up_for(spark, scratch, raw_table, prefix):
+    for n, day in enumerate((DAY, NEXT, THIRD)):
+        land_day(scratch, day, start=1000 * n, repo={"id": n, "name": f"r{n}"})
+    options = {"raw_table": raw_table, "target": "prod", "prefix": prefix}
+    pipeline.run_days(spark, scratch, [DAY, NEXT], **options)
+    # The first day loses records; its run dies before the models.
+    land(scratch, DAY, 3, [])
+    load_days(spark, scratch, [DAY], raw_table)
+    by_day = content(pipeline.run_day(spark, scratch, THIRD, **options).models)
+    assert len(by_day["fct_events"]) == 710
+    assert by_day == content(pipeline.rebuild_models(spark, raw_table, prefix=prefix))
+    # Nothing is due once all is settled.
+    before = spark.table(f"{prefix}prod_marts.mart_builds").count()
+    pipeline.refresh_models(spark, raw_table, prefix=prefix)
+    again = spark.table(f"{prefix}prod_marts.mart_builds").count()
+    pipeline.refresh_models(spark, raw_table, prefix=prefix)
+    assert spark.table(f"{prefix}prod_marts.mart_builds").count() == again >= before
+
+
 def test_failed_gate_stops_before_the_load(spark, scratch, raw_table, prefix):
     land_day(scratch, type="Nonsense")
     with pytest.raises(QualityGateError):

@@ -56,7 +56,8 @@ def test_light_scan_coerces_bad_times_to_null(spark, scratch):
 def test_light_scan_reads_three_fields(spark, scratch):
     land(scratch, DAY, 0, [event(1)])
     plan = raw.read_light(spark, scratch, [DAY])._jdf.queryExecution().executedPlan().toString()
-    assert "struct<id:string,type:string,created_at:string>" in plan
+    fields = ", ".join(f"StructField({c},StringType,true)" for c in ("id", "type", "created_at"))
+    assert plan.count("from_json(") == 1 and f"from_json({fields}, (mode" in plan
 
 
 def test_sample_is_the_first_lines_in_hour_order(spark, scratch):
@@ -115,3 +116,15 @@ def test_blank_lines_are_no_records_for_any_reader(spark, scratch):
         raw.sample_lines(spark, scratch, DAY),
     ]
     assert [r.count() for r in readers] == [2] * 5
+
+
+def test_an_array_line_is_malformed_for_every_reader(spark, scratch):
+    land(scratch, DAY, 0, [event(0), json.dumps([event(1), event(2)]), "\t", event(3)])
+    for spread in (None, 2):
+        rows = raw.read_events(spark, scratch, [DAY], "PERMISSIVE", spread).collect()
+        assert sorted((r.id or "", r[raw.CORRUPT] is None) for r in rows) == [("", False), ("0", True), ("3", True)]
+    for reader in (raw.read_events, raw.read_light, raw.read_envelopes):
+        with pytest.raises(Exception, match="MALFORMED_RECORD"):
+            reader(spark, scratch, [DAY]).collect()
+        assert reader(spark, scratch, [DAY], "PERMISSIVE").count() == 3
+    assert raw.sample_lines(spark, scratch, DAY).count() == 3

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from landed import DAY, NEXT, event, land, land_day
 
-from eventmill.errors import StragglerError
+from eventmill.errors import LoadMismatchError, StragglerError
 from eventmill.plans.load import load_days
 from eventmill.sinks import tables
 from eventmill.sources.raw import within_days
@@ -69,10 +69,48 @@ def test_permissive_load_leaves_malformed_lines_out(spark, scratch, raw_table):
 
 def test_a_record_the_count_and_the_load_disagree_on_is_not_lost_silently(spark, scratch, raw_table):
     land(scratch, DAY, 0, [event(1), event(2, created_at=12)])
-    with pytest.raises(StragglerError, match="counted 2 records"):
+    with pytest.raises(LoadMismatchError, match="counted 2 records"):
         load_days(spark, scratch, [DAY], raw_table)
 
 
+def test_a_load_that_fails_leaves_the_old_rows(spark, scratch, raw_table, monkeypatch):
+    from eventmill.plans import load
+
+    land_day(scratch, DAY)
+    load_days(spark, scratch, [DAY], raw_table)
+    old = sorted(r.id for r in spark.table(raw_table).collect())
+    # A count the parse does not confirm.
+    land(scratch, DAY, 0, [event(1), event(2, created_at=12)])
+    with pytest.raises(LoadMismatchError):
+        load_days(spark, scratch, [DAY], raw_table, strict=False)
+    # A line that only the full parse refuses, while rows are being written.
+    land(scratch, DAY, 0, [event(1), event(2, public="maybe")])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        load_days(spark, scratch, [DAY], raw_table)
+
+    def broken(*args, **kwargs):
+        raise OSError("disk full")
+
+    land(scratch, DAY, 0, ["{oops", event(1)])
+    monkeypatch.setattr(load, "replace_days", broken)
+    for mode in ("PERMISSIVE",):
+        with pytest.raises(OSError):
+            load_days(spark, scratch, [DAY], raw_table, mode=mode)
+    assert sorted(r.id for r in spark.table(raw_table).collect()) == old
+    # Nothing half-done is left beside the table either.
+    assert not [t.name for t in spark.catalog.listTables(raw_table.split(".")[0]) if "staged" in t.name]
+
+
+def test_an_empty_dynamic_overwrite_mode_is_never_set_in_the_callers_session(spark, scratch, raw_table, monkeypatch):
+    from eventmill.plans import load
+
+    land_day(scratch, DAY)
+    seen, real = [], load.replace_days
+    monkeypatch.setattr(load, "replace_days", lambda *a, **k: (real(*a, **k), seen.append(spark.conf.get("spark.sql.sources.partitionOverwriteMode"))))
+    load_days(spark, scratch, [DAY], raw_table)
+    assert [mode.upper() for mode in seen] == ["STATIC", "STATIC"]
+
+
 def test_oversized_files_are_dealt_out(spark, scratch, raw_table, monkeypatch):
     from eventmill.plans import load
 
