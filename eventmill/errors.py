@@ -16,7 +16,7 @@ class QualityGateError(RuntimeError):
         self.failures = failures
         super().__init__(
             "; ".join(
-                f"{f['land_date']} {f['check']}({f['column']}): {f['detail']}" for f in failures
+                f"{f['land_date']} {f['check']}({f['column']}): {f['detail'] or _offenders(f)}" for f in failures
             )
         )
 
@@ -31,3 +31,8 @@ class LoadMismatchError(RuntimeError):
 
 class ModelTestError(RuntimeError):
     """At least one model test found failing rows."""
+
+
+def _offenders(failure: dict) -> str:
+    shown = ", ".join(failure.get("partial_unexpected", ()))
+    return f"{failure['unexpected_count']} of {failure['element_count']}" + (f", among them {shown}" if shown else "")

@@ -20,13 +20,12 @@ from eventmill.schema import (
     CRITICAL_COLUMNS,
     KNOWN_EVENT_TYPES,
     REQUIRED_COLUMNS,
-    SAMPLE_SIZE,
     TOLERATED_PERCENT,
 )
 from eventmill.session import local_frame
 from eventmill.sources.raw import read_envelopes, read_light
-
-SAMPLED_FAILURES = 20
+# Records of each task whose keys are listed at first; the answer does not depend on it, see run_gate().
+WITNESSES = 2000
 
 
 @dataclass(frozen=True)
@@ -36,6 +35,8 @@ class GateRules:
     known_types: tuple[str, ...] = KNOWN_EVENT_TYPES
     tolerated_percent: int = TOLERATED_PERCENT
     buffer_hours: int = BUFFER_HOURS
+    # How many offending values a failure's message shows; GateResult.values holds them all.
+    shown: int = 20
 
     def in_range(self) -> Column:
         buffer = F.make_interval(hours=F.lit(self.buffer_hours))
@@ -105,12 +106,8 @@ def check_rows(counts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     return counts.select("land_date", F.inline(F.array(*checks)))
 
 
-def unexpected_samples(light: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
-    """(land_date, check, value): a few offending values of each value check, per day.
-
-    Nulls offend the null checks only and have no value to show. The rank is cut off inside each
-    task before the shuffle, so a day of nothing but offenders costs no more than a good one.
-    """
+def _offenders(light: DataFrame, rules: GateRules) -> DataFrame:
+    """(land_date, check, value) of each record that offends a value check. A null offends the null checks only."""
 
     def offender(check: str, column: str, good: Column) -> Column:
         return F.when(~good, F.struct(F.lit(check).alias("check"), F.col(column).cast("string").alias("value")))
@@ -118,21 +115,31 @@ def unexpected_samples(light: DataFrame, rules: GateRules = GateRules()) -> Data
     offenders = F.array(
         offender("in_range", "created_at", rules.in_range()), offender("in_set", "type", rules.is_known())
     )
+    return light.select("land_date", F.inline(F.array_compact(offenders)))
+
+
+def unexpected_values(light: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
+    """(land_date, check, value, records): every offending value of every day, with the records carrying it."""
+    return _offenders(light, rules).groupBy("land_date", "check", "value").agg(F.count(F.lit(1)).alias("records"))
+
+
+def unexpected_samples(light: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
+    """(land_date, check, value): the ``shown`` smallest offending values of each value check, per day, for a message.
+
+    The rank is cut off inside each task before the shuffle, so a day of nothing but offenders costs no more than
+    a good one.
+    """
     by_check = Window.partitionBy("land_date", "check").orderBy("value")
-    return (
-        light.select("land_date", F.inline(F.array_compact(offenders)))
-        .withColumn("rank", F.row_number().over(by_check))
-        .where(F.col("rank") <= SAMPLED_FAILURES)
-        .drop("rank")
-    )
+    ranked = _offenders(light, rules).withColumn("rank", F.row_number().over(by_check))
+    return ranked.where(F.col("rank") <= rules.shown).drop("rank")
 
 
 def unlisted_keys(envelopes: DataFrame, listed: Sequence[str]) -> DataFrame:
-    """Top-level keys the raw schema does not have, with the number of records carrying each."""
+    """(land_date, key, records): top-level keys the raw schema does not have, per day."""
     return (
-        envelopes.select(F.explode("keys").alias("key"))
+        envelopes.select("land_date", F.explode("keys").alias("key"))
         .where(~F.col("key").isin(*listed))
-        .groupBy("key")
+        .groupBy("land_date", "key")
         .agg(F.count(F.lit(1)).alias("records"))
     )
 
@@ -142,6 +149,8 @@ class GateResult:
     checks: DataFrame
     counts: dict[date, Row]
     failures: list[dict]
+    # Every offending value of the failed days; None when there are none.
+    values: DataFrame | None = None
 
     @property
     def failed_days(self) -> set[date]:
@@ -162,10 +171,11 @@ def run_gate(
 ) -> GateResult:
     """Check whole days; only the one row of counts per day reaches the driver.
 
-    A column is present when any record has it, so a few records per task normally settle that
-    check. Days where a required key did not show up there have all their records looked at.
+    A column is present when any record has it, so the first ``WITNESSES`` records of each task normally settle
+    that check. The number changes the cost only: days where a required key did not show up there have all
+    their records looked at.
     """
-    counts = day_counts(read_envelopes(spark, raw_dir, days, mode, witnesses=SAMPLE_SIZE), rules)
+    counts = day_counts(read_envelopes(spark, raw_dir, days, mode, witnesses=WITNESSES), rules)
     rows = {row.land_date: row for row in counts.collect()}
     unseen = [d for d, row in rows.items() if not all(row[f"has_{k}"] for k in rules.required)]
     if unseen:
@@ -178,9 +188,12 @@ def run_gate(
     failures = [row.asDict() for row in checks.where(~F.col("success")).orderBy("land_date").collect()]
     shown = sorted({f["land_date"] for f in failures if f["unexpected_count"] and f["check"] in ("in_range", "in_set")})
     samples: dict[tuple, list[str]] = {}
+    values = None
     if shown:
-        for row in unexpected_samples(read_light(spark, raw_dir, shown, mode), rules).collect():
+        light = read_light(spark, raw_dir, shown, mode)
+        values = unexpected_values(light, rules)
+        for row in unexpected_samples(light, rules).collect():
             samples.setdefault((row.land_date, row.check), []).append(row.value)
     for failure in failures:
         failure["partial_unexpected"] = sorted(samples.get((failure["land_date"], failure["check"]), []))
-    return GateResult(checks, rows, failures)
+    return GateResult(checks, rows, failures, values)

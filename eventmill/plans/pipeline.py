@@ -1,6 +1,6 @@
 """The daily run, and the same run over many days at once.
 
-gate -> load -> models -> model tests, stopping at the first failure. Dates come from the caller, never
+coverage -> gate -> load -> retention -> models -> model tests; a day that fails a step goes no further. Dates come from the caller, never
 from the clock, so a back-fill gives what the daily runs would have given. A back-fill is one
 batch: its days share one gate scan, one load job and one build per model.
 """
@@ -14,18 +14,22 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventmill.errors import ModelTestError
+from eventmill.errors import MissingDayError, ModelTestError, QualityGateError, SyncFailedError
 from eventmill.operators.gate import GateResult, GateRules, run_gate
 from eventmill.operators.latest import latest_per_key
 from eventmill.operators.model_tests import run_model_tests
 from eventmill.plans import models
 from eventmill.plans.load import DayRows, LoadResult, load_days
+from eventmill.schema import RETENTION_DAYS
 from eventmill.session import local_frame, sized_shuffles
 from eventmill.sinks import ledger
 from eventmill.sinks.tables import (
     DEFAULT_RAW_TABLE,
+    OFFENDERS_SUFFIX,
+    REJECTS_SUFFIX,
     drop_days,
     ensure_database,
+    expire_days,
     gather_days,
     materialization,
     materialize,
@@ -35,6 +39,7 @@ from eventmill.sinks.tables import (
     relation,
     replace_table,
 )
+from eventmill.sources.landing import day_coverage
 from eventmill.sources.raw import landed_size
 
 # dimension -> (its per-day sightings, key, value)
@@ -159,10 +164,16 @@ def rebuild_models(
 
 @dataclass(frozen=True)
 class RunResult:
-    gate: GateResult
-    load: LoadResult
+    """What a run did. ``gate``, ``load`` and ``tests`` are None where no day got that far."""
+
+    gate: GateResult | None
+    load: LoadResult | None
     models: dict[str, DataFrame]
-    tests: DataFrame
+    tests: DataFrame | None
+    outcome: DataFrame
+
+
+OUTCOME = "land_date date, coverage string, gate string, loaded bigint, rejected bigint, expired boolean, stopped_by string"
 
 
 def run_days(
@@ -176,38 +187,90 @@ def run_days(
     mode: str = "FAILFAST",
     refresh: str = "days",
     prefix: str = "",
+    manifest: DataFrame | None = None,
+    keep_days: int | None = RETENTION_DAYS,
+    enforce: bool = True,
 ) -> RunResult:
-    """Gate, load, build and test ``days``.
-
-    Days that fail the gate are not loaded; the others are, as their own daily runs would have
-    done, and the failure is raised afterwards. ``refresh`` is ``days`` or ``full`` for mart tables;
-    views need no refresh.
+    """Coverage, gate, load, retention, models and tests of ``days``.
+
+    Days that did not land as the ``manifest`` says, or not at all, and days that fail the gate are set aside; the
+    others are completed, as their own daily runs would have done, and the first failure is raised afterwards,
+    with the ``outcome`` as its attribute. With ``enforce`` off nothing is raised for them.
+    Offending values of days that fail the gate are kept, all of them, in ``<raw_table>_offenders``. Raw rows and
+    rejects older than ``keep_days`` before the newest day expire (None: never), and the marts follow.
+    ``refresh`` is ``days`` or ``full`` for mart tables; views need no refresh.
     """
     days = sorted(set(days))
-    size = landed_size(spark, raw_dir, days)
-    gate = run_gate(spark, raw_dir, days, rules, mode)
-    passed = [d for d in days if d not in gate.failed_days]
-    if not passed:
-        gate.enforce()
-    counted = {d: DayRows(gate.counts[d].total, gate.counts[d].in_day) for d in passed}
-    loaded = load_days(spark, raw_dir, passed, raw_table, strict, mode, counted, size)
-
-    # The tests look at all of history, so shuffles are sized for it, not for this run's days.
-    history = size.total * max(1, len(partition_days(spark, raw_table)) // len(days))
-    with sized_shuffles(spark, history):
-        if target != "prod":
-            built = build_models(spark, spark.table(raw_table), target, prefix)
-        elif refresh == "full":
-            built = rebuild_models(spark, raw_table, target, prefix)
-        else:
-            built = refresh_models(spark, raw_table, passed, target, prefix)
-        results = run_model_tests(built).collect()
-    tests = local_frame(spark, results, "model string, column string, test string, failures bigint, passed boolean")
-    failed = [r for r in results if not r.passed]
-    if failed:
-        raise ModelTestError("; ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed))
-    gate.enforce()
-    return RunResult(gate, loaded, built, tests)
+    errors: list[Exception] = []
+    state: dict[date, dict] = {d: {"land_date": d, "coverage": "complete", "expired": False} for d in days}
+
+    for row in day_coverage(spark, raw_dir, days, manifest).collect():
+        if not row.landed_hours or row.failed_hours:
+            state[row.land_date] |= {"coverage": "incomplete" if row.landed_hours else "missing", "stopped_by": "coverage"}
+    incomplete, missing = ([d for d in days if state[d]["coverage"] == kind] for kind in ("incomplete", "missing"))
+    if missing:
+        errors.append(MissingDayError("no landed files for " + ", ".join(map(str, missing))))
+    if incomplete:
+        errors.append(SyncFailedError("hours failed to arrive on " + ", ".join(map(str, incomplete))))
+
+    gate = load = tests = None
+    built: dict[str, DataFrame] = {}
+    covered = [d for d in days if state[d]["coverage"] == "complete"]
+    if covered:
+        size = landed_size(spark, raw_dir, covered)
+        gate = run_gate(spark, raw_dir, covered, rules, mode)
+        for day in covered:
+            state[day] |= {"gate": "failed", "stopped_by": "gate"} if day in gate.failed_days else {"gate": "passed"}
+        if gate.failures:
+            errors.append(QualityGateError(gate.failures))
+            _keep_offenders(spark, gate, raw_table)
+    passed = [d for d in covered if d not in gate.failed_days]
+    if passed:
+        counted = {d: DayRows(gate.counts[d].total, gate.counts[d].in_day) for d in passed}
+        load = load_days(spark, raw_dir, passed, raw_table, strict, mode, counted, size if passed == covered else None)
+        held = partition_days(spark, raw_table)
+        if keep_days is not None:
+            newest = max([*days, *held])
+            expired = expire_days(spark, raw_table, newest, keep_days)
+            expire_days(spark, raw_table + REJECTS_SUFFIX, newest, keep_days)
+            for day in set(passed) & set(expired):
+                state[day]["expired"] = True
+        for day in passed:
+            state[day] |= {"loaded": load.loaded.get(day, 0), "rejected": load.rejected.get(day, 0)}
+
+        # The tests look at all of history, so shuffles are sized for it, not for this run's days.
+        history = size.total * max(1, len(held) // len(days))
+        with sized_shuffles(spark, history):
+            if target != "prod":
+                built = build_models(spark, spark.table(raw_table), target, prefix)
+            elif refresh == "full":
+                built = rebuild_models(spark, raw_table, target, prefix)
+            else:
+                built = refresh_models(spark, raw_table, passed, target, prefix)
+            results = run_model_tests(built).collect()
+        tests = local_frame(spark, results, "model string, column string, test string, failures bigint, passed boolean")
+        failed = [r for r in results if not r.passed]
+        if failed:
+            errors.append(ModelTestError("; ".join(f"{r.model}.{r.column} {r.test}: {r.failures}" for r in failed)))
+            for day in passed:
+                state[day]["stopped_by"] = "model_tests"
+
+    columns = [field.split()[0] for field in OUTCOME.split(", ")]
+    outcome = local_frame(spark, [tuple(state[d].get(c) for c in columns) for d in days], OUTCOME)
+    if enforce and errors:
+        first, *others = errors
+        for other in others:
+            first.add_note(f"{type(other).__name__}: {other}")
+        first.outcome = outcome
+        raise first
+    return RunResult(gate, load, built, tests, outcome)
+
+
+def _keep_offenders(spark: SparkSession, gate: GateResult, raw_table: str) -> None:
+    """Store every offending value of the failed days beside the raw table; a day judged again is replaced."""
+    if gate.values is not None:
+        ensure_database(spark, raw_table.split(".")[0])
+        put_days(gate.values, raw_table + OFFENDERS_SUFFIX, "land_date", ["check", "value"], gate.failed_days)
 
 
 def run_day(spark: SparkSession, raw_dir: str, day: date, **options) -> RunResult:

@@ -15,6 +15,7 @@ from eventmill.session import pin
 
 DEFAULT_RAW_TABLE = "raw_events.events"
 REJECTS_SUFFIX = "_rejects"
+OFFENDERS_SUFFIX = "_offenders"
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:

@@ -6,6 +6,7 @@ remote side; listings read file metadata only, never content.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.errors import AnalysisException
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.errors import SyncFailedError
-from eventmill.functions.hours import hour_path, path_hour
+from eventmill.functions.hours import explode_hours, hour_path, path_hour
 from eventmill.session import local_frame
 
 STATUSES = ("downloaded", "skipped", "not_found", "failed")
@@ -42,10 +43,14 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("hour", path_hour(F.col("path"))).where(F.col("hour").isNotNull())
 
 
-def landed_hours(spark: SparkSession, raw_dir: str) -> DataFrame:
-    """(hour, path, length) of everything landed; nothing when the folder does not exist yet."""
+def landed_hours(spark: SparkSession, raw_dir: str, days: Sequence[date] = ()) -> DataFrame:
+    """(hour, path, length) of what landed under ``days``, or under any day; nothing where no folder exists yet.
+
+    With ``days`` only their folders are listed, in one pass, so a plan for a day does not look at the history.
+    """
+    folders = ",".join(f"{day:%Y/%m/%d}" for day in sorted(set(days)))
     return (
-        _listing(spark, raw_dir)
+        _listing(spark, f"{raw_dir.rstrip('/')}/{{{folders}}}" if folders else raw_dir)
         .groupBy("hour")
         .agg(F.min("path").alias("path"), F.sum("length").alias("length"))
     )
@@ -89,6 +94,26 @@ def sync_plan(
     )
 
 
+def day_coverage(
+    spark: SparkSession, raw_dir: str, days: Sequence[date], manifest: DataFrame | None = None
+) -> DataFrame:
+    """(land_date, landed_hours, failed_hours) of each asked day after the copy step.
+
+    An hour failed when the manifest has it and it did not land, or landed with another length. Without a manifest no
+    hour is known to be owed, so only a day without any file stands out.
+    """
+    landed = landed_hours(spark, raw_dir, days)
+    asked = local_frame(spark, [(day,) for day in sorted(set(days))], "land_date date")
+    counted = landed.groupBy(F.to_date("hour").alias("land_date")).agg(F.count(F.lit(1)).alias("landed_hours"))
+    covered = asked.join(counted, "land_date", "left").fillna(0, ["landed_hours"])
+    if manifest is None:
+        return covered.withColumn("failed_hours", F.lit(0).cast("bigint"))
+    bounds = asked.select(F.col("land_date").cast("timestamp").alias("start"), F.date_add("land_date", 1).cast("timestamp").alias("end"))
+    owed = sync_plan(explode_hours(bounds), landed, manifest).where(F.col("status").isin("fetch", "refetch"))
+    failed = owed.groupBy(F.to_date("hour").alias("land_date")).agg(F.count(F.lit(1)).alias("failed_hours"))
+    return covered.join(failed, "land_date", "left").fillna(0, ["failed_hours"])
+
+
 def sync_result(plan: DataFrame, landed_after: DataFrame) -> DataFrame:
     """The plan after the copy step: planned hours are now ``downloaded`` or ``failed``."""
     after = landed_after.select("hour", F.col("length").alias("arrived"))

@@ -91,6 +91,13 @@ dim_actor_t as ({latest('feed', 'actor_id', 'actor_login')})"""
 STORED = f"""{FEED},
 stored as (select * from feed where cast(land_hour as date) = cast(created_at as date))"""
 
+# The same after the first day was sent again without its issues.
+RELOADED = f"""{STORED},
+reloaded as (
+  select * from stored
+  where event_type <> 'IssuesEvent' or cast(land_hour as date) > (select min(cast(land_hour as date)) from feed)
+)"""
+
 FAULTY = f"""{BASE},
 faulty_all as (
   select case when value < 0.5 then null when value > 300 then 'dup' else cast(event_id as varchar) end as event_id,
@@ -328,7 +335,54 @@ def check_sql() -> dict[str, str]:
             )
             select * from offenders
             qualify row_number() over (partition by land_date, "check" order by value) <= 20""",
-        "gate_unlisted_keys": "select 'extra' as key, count(*) as records from events where value > 400 having count(*) > 0",
+        "gate_unlisted_keys": f"""with {FAULTY}
+            select land_date, 'extra' as key, count(*) as records from faulty_all where has_extra group by 1""",
+        "gate_failure_values": f"""with {FAULTY},
+            offenders as (
+              select land_date, 'in_range' as "check", cast(created_at as varchar) as value from faulty_all
+              where not (created_at between cast(land_date as timestamp) - interval 6 hours
+                         and cast(land_date as timestamp) + interval 30 hours)
+              union all
+              select land_date, 'in_set', event_type from faulty_all where event_type not in ({KNOWN})
+            )
+            select *, count(*) as records from offenders group by all""",
+        "gate_landed_unlisted_keys": f"""with {FAULTY}
+            select land_date, unnest(['extra', 'public']) as key, count(*) as records
+            from faulty_all where has_extra group by 1
+            union all
+            select land_date, unnest(['org', 'payload']), count(*) from faulty_all group by 1""",
+        "reloaded_rows": f"""with {RELOADED}
+            select event_id as id, event_type as type, repo_id, cast(payload as varchar) as payload, created_at,
+                   cast(created_at as date) as event_date from reloaded""",
+        "run_outcome": f"""with {FEED},
+            days as (
+              select cast(land_hour as date) as land_date, count(*) as total,
+                     count(*) filter (where cast(land_hour as date) = cast(created_at as date)) as mine,
+                     bool_or(cast(land_hour as date) = date '{feed.LOST_DAY}'
+                             and extract(hour from land_hour) between {feed.LOST_HOURS[0]} and {feed.LOST_HOURS[1]}) as lost
+              from feed group by 1
+            ),
+            judged as (
+              select *, case when land_date = date '{feed.MISSING_DAY}' then 'missing'
+                             when lost then 'incomplete' else 'complete' end as coverage,
+                     land_date = date '{feed.ODD_DAY}' as odd, max(land_date) over () as newest
+              from days
+            )
+            select land_date, coverage,
+                   case when coverage = 'complete' then case when odd then 'failed' else 'passed' end end as gate,
+                   case when coverage = 'complete' and not odd then mine end as loaded,
+                   case when coverage = 'complete' and not odd then total - mine end as rejected,
+                   coverage = 'complete' and not odd and mine > 0 and land_date < newest - 20 as expired,
+                   case when coverage <> 'complete' then 'coverage' when odd then 'gate' end as stopped_by
+            from judged""",
+        "reload_recovery": f"""with {RELOADED},
+            rollup_t as ({rollup('reloaded')}),
+            dim_repo_t as ({latest('reloaded', 'repo_id', 'repo_name')}),
+            dim_actor_t as ({latest('reloaded', 'actor_id', 'actor_login')})
+            select 'fct_events' as model, event_id as key, event_type as label, repo_id as number from reloaded
+            union all select 'agg_daily_repo_activity', cast(repo_id as varchar), cast(activity_date as varchar), total_events from rollup_t
+            union all select 'dim_repo', cast(repo_id as varchar), repo_name, null from dim_repo_t
+            union all select 'dim_actor', cast(actor_id as varchar), actor_login, null from dim_actor_t""",
         "day_overwrite": f"""with {STORED}
             select cast(created_at as date) as event_date, event_type as type, count(*) as n_rows,
                    count(distinct event_id) as n_ids

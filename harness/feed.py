@@ -105,31 +105,52 @@ def faulty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-_landings: dict[tuple[str, str], str] = {}
+# Mishaps of a landing: hours that never came, a day without files, a day of unknown types.
+LOST_DAY, LOST_HOURS = dt.date(2024, 1, 5), (13, 15)
+MISSING_DAY, ODD_DAY = dt.date(2024, 1, 9), dt.date(2024, 1, 12)
 
 
-def landing(spark: SparkSession, sf_dir: str) -> str:
+def _mishaps(records: DataFrame) -> DataFrame:
+    day, hour = F.to_date("land_hour"), F.hour("land_hour")
+    lost = (day == F.lit(LOST_DAY)) & hour.between(*LOST_HOURS)
+    odd = F.when(day == F.lit(ODD_DAY), F.concat(F.lit("odd-"), "type")).otherwise(F.col("type"))
+    return records.where(~lost & (day != F.lit(MISSING_DAY))).withColumn("type", odd)
+
+
+def _retracted(records: DataFrame) -> DataFrame:
+    """What the feed's owner sends again after taking the issues back."""
+    return records.where(F.col("type") != "IssuesEvent")
+
+
+#: How a landing differs from the feed.
+VERSIONS = {"plain": lambda records: records, "mishaps": _mishaps, "retracted": _retracted}
+
+_landings: dict[tuple[str, str, str], str] = {}
+
+
+def landing(spark: SparkSession, sf_dir: str, version: str = "plain") -> str:
     """The feed as gzipped JSON lines under ``raw/YYYY/MM/DD/H.json.gz``, written once per session.
 
     Spark writes each hour as a folder of parts, so a crowded hour is not one task's work. The part, or
     the folder where there are several, then gets the landing name.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
+    if version == "faulty":
+        records = faulty_events(spark, sf_dir)
+        marked = {k: F.when(F.array_contains("keys", k), F.lit(True)) for k in ("public", "extra")}
+        records = records.withColumns({**marked, "land_hour": F.col("land_date").cast("timestamp")})
+    else:
+        records = VERSIONS[version](raw_events(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, sf_dir, version)
     if key in _landings:
         return _landings[key]
     staged, raw_dir = shared_dir(spark, "staged"), shared_dir(spark, "raw")
-    named = raw_events(spark, sf_dir).select(
-        "id",
-        "type",
-        "actor",
-        "repo",
-        "org",
-        "payload",
-        "public",
-        F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("created_at"),
-        F.date_format("land_hour", PATH_FORMAT.replace("/", "-")).alias("land"),
-        F.col("id").cast("bigint").alias("position"),
-    )
+    named = records.withColumns(
+        {
+            "position": F.monotonically_increasing_id() if version == "faulty" else F.col("id").cast("bigint"),
+            "land": F.date_format("land_hour", PATH_FORMAT.replace("/", "-")),
+            "created_at": F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"),
+        }
+    ).drop("land_hour", "land_date", "keys")
     # Many small files: worth a task per core even where the bytes would fit one.
     with setting(spark, "spark.sql.adaptive.coalescePartitions.minPartitionSize", "1b"):
         (

@@ -22,6 +22,7 @@ from harness import feed
 
 AS_OF = dt.date(2024, 3, 15)
 NOW = dt.datetime(2024, 2, 1)
+KEPT_DAYS = 20
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -103,8 +104,8 @@ def q_sync_summary(spark, sf):
 # ---- scans ----------------------------------------------------------------------------------------
 
 
-def _landed(spark, sf):
-    raw_dir = feed.landing(spark, sf)
+def _landed(spark, sf, version="plain"):
+    raw_dir = feed.landing(spark, sf, version)
     return raw_dir, feed.landed_days(spark, raw_dir)
 
 
@@ -166,6 +167,17 @@ def q_gate_unlisted_keys(spark, sf):
     return gate.unlisted_keys(feed.faulty_events(spark, sf), RAW_SCHEMA.fieldNames())
 
 
+def q_gate_failure_values(spark, sf):
+    """Every offending value of the faulty feed as it landed, read from its text."""
+    return gate.unexpected_values(raw_source.read_light(spark, *_landed(spark, sf, "faulty")))
+
+
+def q_gate_landed_unlisted_keys(spark, sf):
+    """Keys beyond five listed ones, per day, read from landed text; some stand in all records, some in few."""
+    keys = raw_source.read_envelopes(spark, *_landed(spark, sf, "faulty"))
+    return gate.unlisted_keys(keys, ("id", "type", "actor", "repo", "created_at"))
+
+
 # ---- tables ---------------------------------------------------------------------------------------
 
 
@@ -228,6 +240,53 @@ def q_daily_run(spark, sf):
     ).tests
 
 
+def q_run_outcome(spark, sf):
+    """The whole chain over a landing with mishaps: what became of each day that the feed holds."""
+    prefix = _fresh_prefix(spark)
+    records = feed.raw_events(spark, sf)
+    manifest = records.select(F.col("land_hour").alias("hour"), F.lit(True).alias("exists"), F.lit(None).cast("bigint").alias("content_length"))
+    days = feed.landed_days(spark, feed.landing(spark, sf))
+    run = pipeline.run_days(
+        spark, feed.landing(spark, sf, "mishaps"), days, f"{prefix}raw.events", target="prod", strict=False, prefix=prefix,
+        manifest=manifest.distinct(), keep_days=KEPT_DAYS, enforce=False,
+    )
+    return run.outcome
+
+
+def q_reload_recovery(spark, sf):
+    """All marts after a day was loaded again with fewer rows and its run died before the models."""
+    prefix = _fresh_prefix(spark)
+    raw_dir, days = _landed(spark, sf)
+    table = f"{prefix}raw.events"
+    load_days(spark, raw_dir, days[:-1], table, strict=False)
+    pipeline.refresh_models(spark, table, days[:-1], prefix=prefix)
+    load_days(spark, feed.landing(spark, sf, "retracted"), days[:1], table, strict=False)
+    load_days(spark, raw_dir, days[-1:], table, strict=False)
+    built = pipeline.refresh_models(spark, table, days[-1:], prefix=prefix)
+
+    def rows(model, key, label, number):
+        key, label = F.col(key).cast("string").alias("key"), F.col(label).cast("string").alias("label")
+        return built[model].select(F.lit(model).alias("model"), key, label, number.alias("number"))
+
+    none = F.lit(None).cast("bigint")
+    return reduce(
+        DataFrame.unionAll,
+        [
+            rows("fct_events", "event_id", "event_type", F.col("repo_id")),
+            rows("agg_daily_repo_activity", "repo_id", "activity_date", F.col("total_events")),
+            rows("dim_repo", "repo_id", "repo_name", none),
+            rows("dim_actor", "actor_id", "actor_login", none),
+        ],
+    )
+
+
+def q_reloaded_rows(spark, sf):
+    """The raw table's rows after its first day was replaced by fewer; no other day changes."""
+    _, _, days, table, _ = _loaded(spark, sf)
+    load_days(spark, feed.landing(spark, sf, "retracted"), days[:1], table, strict=False)
+    return spark.table(table).select("id", "type", F.col("repo.id").alias("repo_id"), F.to_json("payload").alias("payload"), "created_at", "event_date")
+
+
 _day_wise: dict[tuple[str, str], dict[str, DataFrame]] = {}
 
 
@@ -367,7 +426,12 @@ QUERIES = {
     "gate_one_batch": q_gate_one_batch,
     "gate_failure_samples": q_gate_failure_samples,
     "gate_unlisted_keys": q_gate_unlisted_keys,
+    "gate_failure_values": q_gate_failure_values,
+    "gate_landed_unlisted_keys": q_gate_landed_unlisted_keys,
     "day_overwrite": q_day_overwrite,
+    "reloaded_rows": q_reloaded_rows,
+    "run_outcome": q_run_outcome,
+    "reload_recovery": q_reload_recovery,
     "loaded_row_count": q_loaded_row_count,
     "straggler_rejects": q_straggler_rejects,
     "partition_retention": q_partition_retention,

@@ -28,7 +28,7 @@ def test_day_without_any_org_passes_and_extra_keys_are_allowed(spark, scratch):
     land_day(scratch, surprise=1)
     run_gate(spark, scratch, [DAY]).enforce()
     extra = unlisted_keys(read_envelopes(spark, scratch, [DAY]), RAW_SCHEMA.fieldNames())
-    assert [tuple(r) for r in extra.collect()] == [("surprise", 240)]
+    assert [tuple(r) for r in extra.collect()] == [(DAY, "surprise", 240)]
 
 
 def test_five_percent_of_each_fault_fails_three_checks(spark, scratch):
@@ -53,7 +53,10 @@ def test_five_percent_of_each_fault_fails_three_checks(spark, scratch):
     assert all(v.startswith("Odd") for v in by_check["in_set"]["partial_unexpected"])
     assert by_check["in_range"]["partial_unexpected"][0] == "2023-06-01 00:00:00"
     assert by_check["not_null"]["partial_unexpected"] == []
-    with pytest.raises(QualityGateError, match="in_set"):
+    # The message shows some, the values hold them all.
+    assert result.values.where("check = 'in_set'").count() == 24
+    assert {r.records for r in result.values.where("check = 'in_range'").collect()} == {24}
+    with pytest.raises(QualityGateError, match="in_set.*24 of 480, among them Odd"):
         result.enforce()
 
 
@@ -104,7 +107,7 @@ def test_a_null_valued_key_is_present(spark, scratch):
 def test_one_late_record_is_enough_for_a_column(spark, scratch, monkeypatch):
     from eventmill.operators import gate
 
-    monkeypatch.setattr(gate, "SAMPLE_SIZE", 2)
+    monkeypatch.setattr(gate, "WITNESSES", 2)
     land(scratch, DAY, 0, [event(i, public=...) for i in range(50)] + [event(50)])
     assert failing(run_gate(spark, scratch, [DAY])) == set()
 

@@ -1,9 +1,10 @@
 import datetime as dt
+import os
 
 import pytest
 from landed import DAY, NEXT, event, land, land_day
 
-from eventmill.errors import ModelTestError, QualityGateError
+from eventmill.errors import MissingDayError, ModelTestError, QualityGateError
 from eventmill.operators.model_tests import ColumnTests, run_model_tests
 from eventmill.plans import pipeline
 from eventmill.plans.load import load_days
@@ -93,6 +94,39 @@ def test_back_fill_loads_the_good_days_and_reports_the_bad(spark, scratch, raw_t
     assert tables.read_model(spark, "prod", "fct_events", prefix).count() == 240
 
 
+def test_days_that_did_not_land_are_set_aside(spark, scratch, raw_table, prefix):
+    land_day(scratch, DAY)
+    land_day(scratch, THIRD, start=2000)
+    owed = [(dt.datetime(2024, 1, day, hour), True, None) for day in (10, 12) for hour in range(24)]
+    os.remove(f"{scratch}/2024/01/12/7.json.gz")
+    manifest = spark.createDataFrame(owed, "hour timestamp, exists boolean, content_length bigint")
+    options = {"raw_table": raw_table, "prefix": prefix}
+    with pytest.raises(MissingDayError, match="2024-01-11") as raised:
+        pipeline.run_days(spark, scratch, [DAY, NEXT, THIRD], manifest=manifest, **options)
+    rows = {r.land_date: (r.coverage, r.gate, r.loaded, r.stopped_by) for r in raised.value.outcome.collect()}
+    assert rows == {
+        DAY: ("complete", "passed", 240, None),
+        NEXT: ("missing", None, None, "coverage"),
+        THIRD: ("incomplete", None, None, "coverage"),
+    }
+    assert "SyncFailedError" in raised.value.__notes__[0]
+    assert tables.partition_days(spark, raw_table) == [DAY]
+    nothing = pipeline.run_days(spark, scratch, [NEXT], enforce=False, **options)
+    assert nothing.load is None and nothing.outcome.first().stopped_by == "coverage"
+
+
+def test_offending_values_are_kept_and_old_days_expire(spark, scratch, raw_table, prefix):
+    land(scratch, DAY, 0, [event(1)])
+    land(scratch, NEXT, 0, [event(n, NEXT, type=f"Odd{n}") for n in range(30)])
+    options = {"raw_table": raw_table, "prefix": prefix, "enforce": False}
+    land(scratch, THIRD, 0, [event(50, THIRD)])
+    run = pipeline.run_days(spark, scratch, [DAY, NEXT, THIRD], keep_days=1, **options)
+    kept = spark.table(raw_table + tables.OFFENDERS_SUFFIX)
+    assert kept.count() == 30 and {r.land_date for r in kept.collect()} == {NEXT}
+    assert tables.partition_days(spark, raw_table) == [THIRD]
+    assert [(r.expired, r.stopped_by) for r in run.outcome.orderBy("land_date").collect()] == [(True, None), (False, "gate"), (False, None)]
+
+
 def test_duplicate_ids_are_reported_and_kept(spark, scratch, raw_table, prefix):
     land(scratch, DAY, 0, [event(1), event(2), event(2)])
     with pytest.raises(ModelTestError, match="stg_events.event_id unique: 1; fct_events.event_id unique: 1"):
