@@ -43,28 +43,37 @@ def _listing(spark: SparkSession, path: str) -> DataFrame:
     return files.withColumn("hour", path_hour(F.col("path"))).where(F.col("hour").isNotNull())
 
 
+def _folders(raw_dir: str, days: Sequence[date]) -> str:
+    """One path for the folders of all ``days``: those that do not exist are no error, and no other is listed."""
+    return f"{raw_dir.rstrip('/')}/{{{','.join(f'{day:%Y/%m/%d}' for day in sorted(set(days)))}}}"
+
+
 def landed_hours(spark: SparkSession, raw_dir: str, days: Sequence[date] = ()) -> DataFrame:
     """(hour, path, length) of what landed under ``days``, or under any day; nothing where no folder exists yet.
 
     With ``days`` only their folders are listed, in one pass, so a plan for a day does not look at the history.
     """
-    folders = ",".join(f"{day:%Y/%m/%d}" for day in sorted(set(days)))
     return (
-        _listing(spark, f"{raw_dir.rstrip('/')}/{{{folders}}}" if folders else raw_dir)
+        _listing(spark, _folders(raw_dir, days) if days else raw_dir)
         .groupBy("hour")
         .agg(F.min("path").alias("path"), F.sum("length").alias("length"))
     )
 
 
-def day_files(spark: SparkSession, raw_dir: str, day: date) -> DataFrame:
-    """(hour, path, length) of one day's files in numeric hour order; empty for a missing day."""
+def days_files(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> DataFrame:
+    """(day, hour, path, length) of the files of ``days`` in order of day and numeric hour, from one listing."""
     return (
-        _listing(spark, day_dir(raw_dir, day))
-        .select(F.hour("hour").alias("hour"), "path", "length")
-        .orderBy("hour", "path")
+        _listing(spark, _folders(raw_dir, days))
+        .select(F.to_date("hour").alias("day"), F.hour("hour").alias("hour"), "path", "length")
+        .orderBy("day", "hour", "path")
     )
 
 
+def day_files(spark: SparkSession, raw_dir: str, day: date) -> DataFrame:
+    """(hour, path, length) of one day's files in numeric hour order; empty for a missing day."""
+    return days_files(spark, raw_dir, [day]).drop("day")
+
+
 def sync_plan(
     grid: DataFrame, landed: DataFrame, manifest: DataFrame, raw_dir: str = "raw", force: bool = False
 ) -> DataFrame:

@@ -250,18 +250,22 @@ def declared(stg: str, repos: str, actors: str, fact: str, agg: str) -> str:
     )
 
 
-def sizes(stg: str, repos: str, actors: str, agg: str) -> str:
-    tables = {
-        "stg_events": stg,
-        "int_events_flattened": stg,
-        "dim_repo": repos,
-        "dim_actor": actors,
-        "fct_events": stg,
-        "agg_daily_repo_activity": agg,
+def model_rows(stg: str, listed: tuple[str, ...]) -> str:
+    """(model, key, label, number) of every row of the named models."""
+    rows = {
+        "stg_events": f"event_id, event_type, actor_id from {stg}",
+        "int_events_flattened": f"event_id, {scalar('$.action')}, {whole('$.distinct_size')} from {stg}",
+        "fct_events": f"event_id, event_type, repo_id from {stg}",
+        "agg_daily_repo_activity": "cast(repo_id as varchar), cast(activity_date as varchar), total_events from rollup_t",
+        "dim_repo": "cast(repo_id as varchar), repo_name, repo_id from dim_repo_t",
+        "dim_actor": "cast(actor_id as varchar), actor_login, actor_id from dim_actor_t",
     }
-    return "\nunion all\n".join(f"select '{m}' as model, count(*) as n_rows from {t}" for m, t in tables.items())
+    parts = "\nunion all\n".join(f"select '{model}', {rows[model]}" for model in listed)
+    return f"select * from ({parts}) t(model, key, label, number)"
 
 
+ALL_MODELS = ("stg_events", "int_events_flattened", "fct_events", "agg_daily_repo_activity", "dim_repo", "dim_actor")
+
 STORED_MARTS = f"""{STORED},
 rollup_t as ({rollup('stored')}),
 dim_repo_t as ({latest('stored', 'repo_id', 'repo_name')}),
@@ -283,8 +287,10 @@ def check_sql() -> dict[str, str]:
             from events""",
         "landed_hours": f"with {FEED} select distinct land_hour as hour, true as has_bytes from feed",
         "day_files": f"""with {FEED}
-            select distinct cast(land_hour as date) as day, cast(extract(hour from land_hour) as integer) as hour
-            from feed""",
+            select day, hour, strftime(land_hour, '%Y/%m/%d/%-H.json.gz') as path,
+                   cast(row_number() over (partition by day order by hour) as integer) as rank
+            from (select distinct land_hour, cast(land_hour as date) as day,
+                         cast(extract(hour from land_hour) as integer) as hour from feed)""",
         "sync_plan": f"with {LISTINGS}, {plan(False)} {PLANNED}",
         "sync_plan_forced": f"with {LISTINGS}, {plan(True)} {PLANNED}",
         "sync_summary": f"""with {LISTINGS}, {plan(False)},
@@ -379,10 +385,7 @@ def check_sql() -> dict[str, str]:
             rollup_t as ({rollup('reloaded')}),
             dim_repo_t as ({latest('reloaded', 'repo_id', 'repo_name')}),
             dim_actor_t as ({latest('reloaded', 'actor_id', 'actor_login')})
-            select 'fct_events' as model, event_id as key, event_type as label, repo_id as number from reloaded
-            union all select 'agg_daily_repo_activity', cast(repo_id as varchar), cast(activity_date as varchar), total_events from rollup_t
-            union all select 'dim_repo', cast(repo_id as varchar), repo_name, null from dim_repo_t
-            union all select 'dim_actor', cast(actor_id as varchar), actor_login, null from dim_actor_t""",
+            {model_rows('reloaded', ALL_MODELS[2:])}""",
         "day_overwrite": f"""with {STORED}
             select cast(created_at as date) as event_date, event_type as type, count(*) as n_rows,
                    count(distinct event_id) as n_ids
@@ -406,8 +409,8 @@ def check_sql() -> dict[str, str]:
         "day_wise_dims": f"""with {STORED_MARTS}
             select 'repo' as dim, repo_id as id, repo_name as label from dim_repo_t
             union all select 'actor', actor_id, actor_login from dim_actor_t""",
-        "mart_tables": f"with {STORED_MARTS} {sizes('stored', 'dim_repo_t', 'dim_actor_t', 'rollup_t')}",
-        "dev_views": f"with {MARTS} {sizes('feed', 'dim_repo_t', 'dim_actor_t', 'rollup_t')}",
+        "mart_tables": f"with {STORED_MARTS} {model_rows('stored', ALL_MODELS)}",
+        "dev_views": f"with {MARTS} {model_rows('feed', ALL_MODELS)}",
         "stg_events": f"with {FEED} select * exclude (land_hour) from feed",
         "stg_faulty_events": f"with {FAULTY} select * exclude (payload, land_date, has_extra) from faulty",
         "int_events_flattened": f"""with {FEED}

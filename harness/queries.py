@@ -6,7 +6,7 @@ import datetime as dt
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.hours import explode_hours, hour_grid, hour_key, hour_path, trailing_window
@@ -51,12 +51,13 @@ def q_landed_hours(spark, sf):
 
 
 def q_day_files(spark, sf):
+    """Files of every landed day with their place in numeric hour order, from one listing."""
     raw_dir = feed.landing(spark, sf)
-    days = [
-        landing_source.day_files(spark, raw_dir, day).select(F.lit(day).alias("day"), "hour")
-        for day in feed.landed_days(spark, raw_dir)
-    ]
-    return reduce(DataFrame.unionAll, days).distinct()
+    files = landing_source.days_files(spark, raw_dir, feed.landed_days(spark, raw_dir))
+    # A crowded hour is a folder of parts here; its rank and its own path are those of the hour.
+    hourly = F.regexp_extract("path", r"(\d{4}/\d{2}/\d{2}/\d{1,2}\.json\.gz)", 1)
+    ranked = files.select("day", "hour", hourly.alias("path")).distinct()
+    return ranked.withColumn("rank", F.row_number().over(Window.partitionBy("day").orderBy("hour")))
 
 
 def _listings(spark, sf):
@@ -240,6 +241,31 @@ def q_daily_run(spark, sf):
     ).tests
 
 
+#: What stands for a row of each model: its key, a text and a number.
+MODEL_ROWS = (
+    ("stg_events", "event_id", "event_type", "actor_id"),
+    ("int_events_flattened", "event_id", "action", "push_commit_count"),
+    ("fct_events", "event_id", "event_type", "repo_id"),
+    ("agg_daily_repo_activity", "repo_id", "activity_date", "total_events"),
+    ("dim_repo", "repo_id", "repo_name", "repo_id"),
+    ("dim_actor", "actor_id", "actor_login", "actor_id"),
+)
+
+
+def _model_rows(built, listed=MODEL_ROWS):
+    """(model, key, label, number) of every row of the models."""
+    parts = [
+        built[model].select(
+            F.lit(model).alias("model"),
+            F.col(key).cast("string").alias("key"),
+            F.col(label).cast("string").alias("label"),
+            F.col(number).cast("bigint").alias("number"),
+        )
+        for model, key, label, number in listed
+    ]
+    return reduce(DataFrame.unionAll, parts)
+
+
 def q_run_outcome(spark, sf):
     """The whole chain over a landing with mishaps: what became of each day that the feed holds."""
     prefix = _fresh_prefix(spark)
@@ -264,20 +290,7 @@ def q_reload_recovery(spark, sf):
     load_days(spark, raw_dir, days[-1:], table, strict=False)
     built = pipeline.refresh_models(spark, table, days[-1:], prefix=prefix)
 
-    def rows(model, key, label, number):
-        key, label = F.col(key).cast("string").alias("key"), F.col(label).cast("string").alias("label")
-        return built[model].select(F.lit(model).alias("model"), key, label, number.alias("number"))
-
-    none = F.lit(None).cast("bigint")
-    return reduce(
-        DataFrame.unionAll,
-        [
-            rows("fct_events", "event_id", "event_type", F.col("repo_id")),
-            rows("agg_daily_repo_activity", "repo_id", "activity_date", F.col("total_events")),
-            rows("dim_repo", "repo_id", "repo_name", none),
-            rows("dim_actor", "actor_id", "actor_login", none),
-        ],
-    )
+    return _model_rows(built, MODEL_ROWS[2:])
 
 
 def q_reloaded_rows(spark, sf):
@@ -317,20 +330,18 @@ def q_day_wise_dims(spark, sf):
     return repos.unionAll(actors)
 
 
-def _model_sizes(built):
-    sizes = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("model"), "n_rows") for name, df in built.items()]
-    return reduce(DataFrame.unionAll, sizes)
-
-
 def q_mart_tables(spark, sf):
-    """Full build for prod: marts are tables, the fact by day and clustered by type."""
+    """Two full builds for prod: marts are tables, the fact by day and clustered by type."""
     prefix, _, _, table, _ = _loaded(spark, sf)
-    return _model_sizes(pipeline.build_models(spark, spark.table(table), "prod", prefix))
+    pipeline.build_models(spark, spark.table(table), "prod", prefix)
+    return _model_rows(pipeline.build_models(spark, spark.table(table), "prod", prefix))
 
 
 def q_dev_views(spark, sf):
-    """Full build for dev: every model is a view over the feed."""
-    return _model_sizes(pipeline.build_models(spark, feed.raw_events(spark, sf), "dev", f"run_{uuid.uuid4().hex[:12]}_"))
+    """Two full builds for dev: every model is a view over the feed."""
+    prefix = f"run_{uuid.uuid4().hex[:12]}_"
+    pipeline.build_models(spark, feed.raw_events(spark, sf), "dev", prefix)
+    return _model_rows(pipeline.build_models(spark, feed.raw_events(spark, sf), "dev", prefix))
 
 
 # ---- models ---------------------------------------------------------------------------------------
