@@ -6,8 +6,9 @@ soon as no later rank can be lower. Nodes that agree on all rows of a band are c
 threshold is missed with a probability of at most MISS. Candidates are verified on whole sets, so no false link remains.
 
 Verification works by family, which is a component of candidates. Families up to FAMILY nodes and FAMILY_SHINGLES shingles are verified and
-grouped in one task each. The buckets of larger ones are cut into chunks, and every pair of chunks of a bucket is a task of its own; their
-links then go through distributed components. Neither way leaves a pair of a bucket unverified or emits pairs that are no links.
+grouped in one task each. In larger ones all nodes of a bucket are first verified against a few leaders of it, chunk by chunk, which joins
+a large group of copies of one text at a cost in proportion to its size. Nodes that stay outside their bucket's largest group are
+then verified against the whole bucket. Only pairs already known to be in one group are left out, and pairs that are no links are never emitted.
 
 A null text counts as empty. A document without words has an empty set, is linked with nothing and stays. Null ids are no ids: a group's
 component_id is its smallest id that is not null, and a row with a null id is kept only if its whole group has none. Rows that repeat a
@@ -29,7 +30,7 @@ from eventmill.llm import text as T
 from eventmill.llm.components import components
 
 SHINGLE, PERCENT, ROWS, MISS = 5, 85, 4, 1e-5
-FAMILY, FAMILY_SHINGLES, CHUNK = 512, 1 << 20, 512
+FAMILY, FAMILY_SHINGLES, CHUNK, LEADERS = 512, 1 << 20, 512, 4
 ELEMENTS = 1 << 17
 
 
@@ -118,10 +119,10 @@ class Sets:
 
 
 def grouped(percent: int):
-    """Union-find over the links of one family."""
+    """Union-find over the links that the probes of one task have with any of its nodes."""
 
     def run(family: pd.DataFrame) -> pd.DataFrame:
-        family = family.drop_duplicates("node").sort_values("node", ignore_index=True)
+        family = family.sort_values(["node", "probe"], ascending=[True, False]).drop_duplicates("node", ignore_index=True)
         sets, root = Sets(T.text_column(family)), list(range(len(family)))
 
         def find(x: int) -> int:
@@ -129,9 +130,9 @@ def grouped(percent: int):
                 root[x] = x = root[root[x]]
             return x
 
-        for i in range(len(family)):
-            for j in sets.linked(i, percent):
-                a, b = sorted((find(i), find(int(j))))
+        for i in np.flatnonzero(family["probe"]):
+            for j in sets.linked(int(i), percent):
+                a, b = sorted((find(int(i)), find(int(j))))
                 root[b] = a
         return pd.DataFrame({"node": family["node"], "label": [family["node"][find(i)] for i in range(len(family))]})
 
@@ -167,23 +168,70 @@ def group_nodes(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> Dat
     sized = members.join(totals, "family").select("family", "node", "key", "known", small.alias("small"))
     # Always by shuffle: a plan that changes with the number of candidates would not tell how it grows.
     texts = T.written(sized.join(keyed(docs).hint("merge"), ["key", "known"]), "candidates")
-    labelled = T.written(texts.where("small").groupBy("family").applyInPandas(grouped(percent), "node binary, label binary"), "labelled")
-    large = texts.where("not small").select("node", "text").dropDuplicates(["node"])
+    families_small = texts.where("small").withColumn("probe", F.lit(True))
+    labelled = T.written(families_small.groupBy("family").applyInPandas(grouped(percent), "node binary, label binary"), "labelled")
+    large = T.written(texts.where("not small").select("node", "text").dropDuplicates(["node"]), "large")
     if large.isEmpty():
         return labelled
-    links = T.written(bucket_links(large, buckets.select("node", "bucket", "n"), percent), "links")
-    return labelled.union(components(links.select(F.col("node").alias("bucket"), F.explode(F.array("node", "label")).alias("node"))))
-
-
-def bucket_links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
-    """Links (node, label) that join what is linked inside any bucket of (node, bucket, n): a bucket is cut by hash into chunks of about
-    CHUNK nodes, every two chunks meet in one task, and a task emits one link per node at most."""
-    cut = entries.withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int"))
-    chunk = cut.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
-    paired = chunk.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    tasks = paired.select("node", "bucket", F.least("chunk", "other").alias("low"), F.greatest("chunk", "other").alias("high"))
-    found = tasks.join(texts, "node").groupBy("bucket", "low", "high").applyInPandas(grouped(percent), "node binary, label binary")
-    return found.where("node <> label").distinct()
+    entries = T.written(buckets.select("node", "bucket").join(large.select("node"), "node", "left_semi"), "entries")
+    return labelled.union(large_groups(large, entries, percent))
+
+
+def linked_tasks(tasks: DataFrame, texts: DataFrame, percent: int, name: str) -> DataFrame:
+    """Links (node, label), one per node and task at most, that probes have with nodes of the same task, by (task, node, probe)."""
+    rows = T.written(tasks, f"{name}_tasks").join(texts, "node")
+    return T.written(rows.groupBy("task").applyInPandas(grouped(percent), "node binary, label binary").where("node <> label"), name)
+
+
+def joined_by(links: DataFrame) -> DataFrame:
+    return components(links.select(F.col("node").alias("bucket"), F.explode(F.array("node", "label")).alias("node")))
+
+
+def large_groups(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """node, label of the nodes that are linked inside any bucket of (node, bucket).
+
+    First every node meets its buckets' leaders, which LEADERS hashes choose: work in proportion to the nodes, and enough for copies of one
+    text. Then only nodes outside their bucket's largest group so far are compared with all of the bucket.
+    """
+    stars = star_links(texts, entries, percent)
+    labels = T.written(joined_by(stars), "star_labels")
+    rest = rest_links(texts, entries, labels, percent)
+    return labels if rest.isEmpty() else joined_by(stars.union(rest))
+
+
+def star_links(texts: DataFrame, entries: DataFrame, percent: int) -> DataFrame:
+    """Links of nodes and their buckets' leaders. Buckets with the same leaders are one; its nodes are cut by hash into chunks of about CHUNK
+    nodes, and every chunk meets the leaders in a task of its own."""
+    chosen = F.array(*[F.min_by("node", F.xxhash64(F.lit(k), "node")) for k in range(LEADERS)])
+    leaders = T.written(entries.groupBy("bucket").agg(F.array_sort(F.array_distinct(chosen)).alias("leaders")), "leaders")
+    members = T.written(entries.join(leaders, "bucket").select("node", "leaders", F.xxhash64("leaders").alias("star")).distinct(), "star_members")
+    chunks = T.written(members.groupBy("star").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"), F.first("leaders").alias("led_by")), "star_chunks")
+    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
+    own = members.join(chunks, "star").select(F.xxhash64("star", chunk).alias("task"), "node", F.lit(False).alias("probe"))
+    each = chunks.select("star", "led_by", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"))
+    led = each.select(F.xxhash64("star", "chunk").alias("task"), F.explode("led_by").alias("node"), F.lit(True).alias("probe"))
+    return linked_tasks(own.union(led), texts, percent, "star_links")
+
+
+def rest_links(texts: DataFrame, entries: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Links of the nodes outside their bucket's largest group with all of the bucket, chunk by chunk."""
+    named = T.written(entries.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")), "named_entries")
+    groups = named.groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    largest = groups.groupBy("bucket").agg(F.max_by("label", F.struct("n", "label")).alias("largest"), F.sum("n").alias("n"), F.max("n").alias("most"))
+    cut = largest.where("most < n").withColumn("rests", F.ceil((F.col("n") - F.col("most")) / CHUNK).cast("int"))
+    open_buckets = T.written(cut.withColumn("chunks", F.ceil(F.col("n") / CHUNK).cast("int")), "open_buckets")
+    rows = T.written(named.join(open_buckets, "bucket"), "open_entries")
+    place = F.xxhash64("node")
+    probes = rows.where("label <> largest").select(
+        "bucket", "node", F.pmod(place, F.col("rests")).cast("int").alias("rest"),
+        F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(True).alias("probe"),
+    )
+    others = rows.select(
+        "bucket", "node", F.explode(F.sequence(F.lit(0), F.col("rests") - 1)).alias("rest"),
+        F.pmod(place, F.col("chunks")).cast("int").alias("chunk"), F.lit(False).alias("probe"),
+    )
+    tasks = probes.unionByName(others).select(F.xxhash64("bucket", "rest", "chunk").alias("task"), "node", "probe")
+    return linked_tasks(tasks, texts, percent, "rest_links")
 
 
 def verdicts(docs: DataFrame, percent: int = PERCENT) -> DataFrame:

@@ -163,6 +163,30 @@ def test_near_groups(docs, monkeypatch, family):
     assert ordered(near_dedup.near_groups(docs).collect()) == ordered(brute.near(pairs(docs)))
 
 
+@pytest.mark.parametrize("leaders", [1, 4])
+def test_near_groups_of_drifting_copies(spark, monkeypatch, leaders):
+    """Chains whose ends are no links, copies of one text, and a text of its own, met in chunks of two with few leaders."""
+    import random
+
+    random.seed(11)
+    monkeypatch.setattr(near_dedup, "FAMILY", 1)
+    monkeypatch.setattr(near_dedup, "CHUNK", 2)
+    monkeypatch.setattr(near_dedup, "LEADERS", leaders)
+    rows = []
+    for chain in range(3):
+        words = [f"c{chain}w{i}" for i in range(200)]
+        for step in range(10):
+            words[random.randrange(200)] = f"c{chain}s{step}"
+            rows.append((100 * chain + step, " ".join(words)))
+    plain = [f"p{i}" for i in range(150)]
+    rows += [(1000 + i, " ".join([*plain[: 5 * i], f"x{i}", *plain[5 * i + 1 :]])) for i in range(20)]
+    rows.append((2000, " ".join(f"q{i}" for i in range(80))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = near_dedup.near_groups(docs).collect()
+    assert ordered(found) == ordered(brute.near(rows))
+    assert len({r["component_id"] for r in found}) < len(rows)
+
+
 def test_one_of_each(odd):
     rows = {(r["doc_id"], r["text"]) for r in near_dedup.one_of_each(odd).collect()}
     kept = {(x[0], t) for x, (_, t) in zip(brute.near(pairs(odd)), pairs(odd)) if x[3]}
