@@ -132,22 +132,32 @@ def read_envelopes(
     )
 
 
+def _heads(spark: SparkSession, paths: Sequence[str], n: int) -> DataFrame:
+    """The first ``n`` records of some files in hour order, from one scan; a single file is not read beyond them."""
+    hour, path = path_hour(F.col("_metadata.file_path")), F.col("_metadata.file_path")
+    lines = spark.read.text(list(paths)).where(F.col("value").rlike(r"\S")).select(
+        hour.alias("hour"), path.alias("path"), F.monotonically_increasing_id().alias("line"), "value"
+    )
+    return (lines if len(paths) == 1 else lines.orderBy("hour", "path", "line")).limit(n)
+
+
 def sample_lines(spark: SparkSession, raw_dir: str, day: date, n: int = SAMPLE_SIZE) -> DataFrame:
     """The first ``n`` non-blank lines of a day in hour order, as ``value``.
 
-    Each file gives up at most ``n`` lines before the merge, so no file is read to its end.
+    Files are opened in hour order until ``n`` lines are found: mostly the first alone, and where that is too short
+    twice as many at a time, so that a day of any number of files takes a few scans.
     """
-    files = day_files(spark, raw_dir, day).collect()
-    if not files:
+    paths = [file.path for file in day_files(spark, raw_dir, day).collect()]
+    if not paths:
         raise MissingDayError(f"no landed files for {day} under {raw_dir}")
-    heads = [
-        spark.read.text(file.path)
-        .where(F.col("value").rlike(r"\S"))
-        .select(F.lit(rank).alias("rank"), F.monotonically_increasing_id().alias("line"), "value")
-        .limit(n)
-        for rank, file in enumerate(files)
-    ]
-    return reduce(DataFrame.unionAll, heads).orderBy("rank", "line").limit(n).select("value")
+    heads, found, opened = [], 0, 0
+    while opened < len(paths) and (found < n or not heads):
+        some = paths[opened : 2 * opened + 1]
+        heads.append(_heads(spark, some, n - found))
+        opened += len(some)
+        if opened < len(paths):
+            found += heads[-1].count()
+    return reduce(DataFrame.unionAll, heads).orderBy("hour", "path", "line").limit(n).select("value")
 
 
 def within_days(df: DataFrame, start: date, end: date, partition: str = "event_date") -> DataFrame:

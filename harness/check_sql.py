@@ -319,6 +319,10 @@ def check_sql() -> dict[str, str]:
             select event_id as id from feed
             where cast(land_hour as date) = (select min(cast(land_hour as date)) from feed)
             order by land_hour, cast(event_id as bigint) limit 2000""",
+        "sample_lines_bounded": f"""with {FEED}
+            select event_id as id from feed
+            where cast(land_hour as date) = (select min(cast(land_hour as date)) from feed)
+            order by land_hour, cast(event_id as bigint) limit 100""",
         "source_freshness": """
             select *, case when lag_seconds > 3 * 86400 then 'error' when lag_seconds > 86400 then 'warn'
                            else 'pass' end as status

@@ -138,6 +138,13 @@ def q_sample_lines(spark, sf):
     return sample.select(F.get_json_object("value", "$.id").alias("id"))
 
 
+def q_sample_lines_bounded(spark, sf):
+    """A sample smaller than its day; the bound is the operator's parameter."""
+    raw_dir, days = _landed(spark, sf)
+    sample = raw_source.sample_lines(spark, raw_dir, days[0], 100)
+    return sample.select(F.get_json_object("value", "$.id").alias("id"))
+
+
 def q_source_freshness(spark, sf):
     limits = dt.timedelta(days=1), dt.timedelta(days=3)
     return raw_source.freshness(feed.raw_events(spark, sf), NOW, *limits)
@@ -431,6 +438,7 @@ QUERIES = {
     "jsonl_scan": q_jsonl_scan,
     "light_scan": q_light_scan,
     "sample_lines": q_sample_lines,
+    "sample_lines_bounded": q_sample_lines_bounded,
     "source_freshness": q_source_freshness,
     "gate_landed_days": q_gate_landed_days,
     "gate_faulty_days": q_gate_faulty_days,

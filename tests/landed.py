@@ -25,12 +25,12 @@ def event(i, day=DAY, hour=0, **fields):
     return {k: v for k, v in record.items() if v is not ...}
 
 
-def land(raw_dir, day, hour, records, newline=True):
-    """Write one hourly file; a record may be raw text."""
-    folder = f"{raw_dir}/{day:%Y/%m/%d}"
+def land(raw_dir, day, hour, records, newline=True, part=None):
+    """Write one hourly file, or a part of an hour that is a folder; a record may be raw text."""
+    folder = f"{raw_dir}/{day:%Y/%m/%d}" + ("" if part is None else f"/{hour}.json.gz")
     os.makedirs(folder, exist_ok=True)
     lines = [r if isinstance(r, str) else json.dumps(r) for r in records]
-    with gzip.open(f"{folder}/{hour}.json.gz", "wt", encoding="utf-8") as f:
+    with gzip.open(f"{folder}/{hour if part is None else f'part-{part:05d}'}.json.gz", "wt", encoding="utf-8") as f:
         f.write("\n".join(lines) + ("\n" if newline and lines else ""))
 
 

@@ -68,6 +68,16 @@ def test_sample_is_the_first_lines_in_hour_order(spark, scratch):
     assert raw.sample_lines(spark, scratch, DAY).count() == 12
 
 
+def test_sample_stops_at_its_size_and_takes_few_scans(spark, scratch):
+    for part in range(40):
+        land(scratch, DAY, part % 20, [event(part * 10 + n, hour=part % 20) for n in range(3)], part=part)
+    for n, scans in ((2, 1), (3, 1), (5, 2), (119, 6), (500, 6)):
+        sample = raw.sample_lines(spark, scratch, DAY, n)
+        plan = sample._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == scans and sample.count() == min(n, 120)
+    assert [json.loads(r.value)["id"] for r in raw.sample_lines(spark, scratch, DAY, 7).collect()] == ["0", "1", "2", "200", "201", "202", "10"]
+
+
 def test_malformed_line_fails_fast_or_is_quarantined(spark, scratch):
     land(scratch, DAY, 0, [event(1), '{"id": "2", "type": ', event(3), '{"id":"4","payload":{"a":1,"a":2}}'])
     with pytest.raises(Exception, match="MALFORMED_RECORD"):
