@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from eventmill.llm import text as T
 
-BUCKETS = 64
+#: A new index has so many buckets at least, and more (a power of two) where its first batch would give a bucket more digests than ROWS_A_BUCKET.
+BUCKETS, ROWS_A_BUCKET = 64, 1 << 22
 
 
 def digest(text: Column) -> Column:
@@ -28,25 +29,34 @@ def digest(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class DigestIndex:
-    """table: digest binary, keep_id long; created on first use."""
+    """table: digest binary, keep_id long; created with the first batch."""
 
     spark: SparkSession
     table: str
     buckets: int = BUCKETS
 
-    def read(self) -> DataFrame:
+    def create(self, rows: int) -> None:
+        """An empty index fit for so many digests, unless it exists. The number of buckets stays; a much larger corpus needs a new index."""
         if not self.spark.catalog.tableExists(self.table):
-            self.append(self.spark.createDataFrame([], "digest binary, keep_id long"))
+            wanted = max(self.buckets, 1 << max(0, -(-rows // ROWS_A_BUCKET) - 1).bit_length())
+            self._write(self.spark.createDataFrame([], "digest binary, keep_id long"), wanted)
+
+    def _write(self, rows: DataFrame, buckets: int) -> None:
+        rows.write.format("parquet").bucketBy(buckets, "digest").sortBy("digest").mode("append").saveAsTable(self.table)
+
+    def read(self) -> DataFrame:
         return self.spark.read.table(self.table)
 
     def append(self, fresh: DataFrame) -> None:
-        rows = fresh.select("digest", "keep_id").repartition(self.buckets, "digest")
-        rows.write.format("parquet").bucketBy(self.buckets, "digest").sortBy("digest").mode("append").saveAsTable(self.table)
+        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.table}").where("col_name = 'Num Buckets'")
+        buckets = int(described.first()["data_type"])
+        self._write(fresh.select("digest", "keep_id").repartition(buckets, "digest"), buckets)
 
     def add(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Enters a batch. Gives its rows (doc_id, digest) and its classes (digest, keep_id, group_size), both stored."""
         rows = T.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest")), "digests")
         batch = T.written(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "batch")
+        self.create(batch.count())
         self.append(T.written(batch.join(self.read().select("digest").hint("merge"), "digest", "left_anti"), "fresh"))
         known = self.spark.read.table(self.table).select("digest", "keep_id")
         return rows, T.written(batch.drop("keep_id").join(known.hint("merge"), "digest"), "classes")

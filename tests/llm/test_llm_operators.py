@@ -55,6 +55,16 @@ def index(spark, prefix):
     return exact_dedup.DigestIndex(spark, f"{prefix}index", buckets=4)
 
 
+def test_an_index_has_buckets_for_its_first_batch_and_keeps_them(spark, prefix, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "ROWS_A_BUCKET", 3)
+    own, schema = index(spark, prefix + "sized"), "doc_id long, text string"
+    for start in (0, 10):
+        own.add(spark.createDataFrame([(i, f"text {i}") for i in range(start, start + 20)], schema))
+        buckets = spark.sql(f"DESCRIBE TABLE EXTENDED {own.table}").where("col_name = 'Num Buckets'").first()["data_type"]
+        assert buckets == "8"
+    assert sorted(r["keep_id"] for r in own.read().collect()) == list(range(30))
+
+
 def test_exact_dedup(spark, prefix, docs):
     rows, groups = pairs(docs), defaultdict(list)
     for i, t in rows:
