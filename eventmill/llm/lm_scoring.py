@@ -1,15 +1,15 @@
 """Language-model scores from a log-frequency Bloom filter.
 
 Counts of 1- and 2-grams of the training texts are quantised to levels, level q standing for BASE**(q - 1), and every n-gram enters a Bloom
-filter once for each level up to its own. The filter goes to all workers; a count is read back by probing level after level until one
-is missing, so it is never too low, and too high only by false positives. A bigram's probability is its count smoothed by the
-word's own (both read from the filter), with as much weight on the word's probability as PRIOR occurrences would have.
+filter once for each level up to its own. A count is read back by probing level after level until one is missing or the highest level
+that was entered is reached, so it is never too low, and too high only by false positives. A bigram's probability is its count smoothed by
+the word's own (both read from the filter), with as much weight on the word's probability as PRIOR occurrences would have.
 
-The filter grows with the distinct n-grams, BITS bits for each entry, up to MOST_BYTES, the bound of what is broadcast; beyond that all n-grams
-still enter, and the rate of false positives rises (`Filter.load` tells by how much). It is made in segments, one per shard of the n-grams,
-so no task holds more than its shard. In a shard, n-grams are told apart by 32-bit prints; shards do not grow, so neither do clashes.
-The base score needs exact counts of single words. Those stay distributed: blocks of documents send their distinct words to the
-shards that hold the counts, and get the counts back.
+The filter grows with the distinct n-grams, BITS bits for each entry, so the rate of false positives does not depend on the size of the input.
+It is made in segments, one per shard of the n-grams, and probed where they lie: blocks of documents send their distinct words and
+bigrams to the shards, and get counts and levels back. No task holds more than a shard's or a block's share, and of the counts only two
+sums reach the driver. In a shard, n-grams are told apart by 32-bit prints; shards do not grow, so neither do clashes. The base score's
+exact counts of single words lie beside the segments and come back the same way.
 
 Tokens are lowered words and one end per text, which is the first token's context too. A null or empty text is its end alone. Ids
 and texts may repeat; each row counts. A null id is trained on. Without training texts all counts are zero. Words are told apart by 64-bit hashes.
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from eventmill.llm import text as T
 
 END = 0x656E64
-BASE, BITS, HASHES, MOST_BYTES, PRIOR = 2.0, 8, 4, 1 << 28, 500.0
+BASE, BITS, HASHES, PRIOR = 2.0, 8, 4, 500.0
 BLOCK_BYTES, SHARD_BYTES = 8 << 20, 4 << 20
 BUFFER = 1 << 21
 
@@ -55,17 +55,20 @@ def levels(count: np.ndarray) -> np.ndarray:
     return 1 + np.rint(np.log(count) / np.log(BASE)).astype(np.int64)
 
 
+def quantised(level: np.ndarray) -> np.ndarray:
+    """The counts that levels stand for."""
+    return np.where(level > 0, BASE ** (level - 1.0), 0.0)
+
+
 @dataclass
 class Filter:
-    """Bits in one segment per shard; an n-gram's segment is fixed by its hash, its places in it by its order, print and level."""
+    """Bits in one segment per shard; an n-gram's segment is fixed by its hash, its places in it by its order, print and level.
+    top has the highest level that was entered of each order (counts below 2**63 have no higher ones)."""
 
     bits: np.ndarray
     first: np.ndarray
     size: np.ndarray
-
-    @property
-    def load(self) -> float:
-        return float(np.unpackbits(self.bits[: 1 << 20]).mean())
+    top: tuple[int, int] = (64, 64)
 
     @staticmethod
     def places(order: int, prints: np.ndarray, level: int, size: np.ndarray | np.uint64) -> Iterator[np.ndarray]:
@@ -82,14 +85,17 @@ class Filter:
             out &= (self.bits[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 > 0
         return out
 
-    def counts(self, order: int, grams: np.ndarray) -> np.ndarray:
-        """Quantised counts, by probing one level after another."""
-        level, left, step = np.zeros(len(grams), np.int64), np.arange(len(grams)), 0
-        while len(left):
+    def levels(self, order: int, grams: np.ndarray) -> np.ndarray:
+        """Levels, 0 where there is none, by probing one after another."""
+        found, left, step = np.zeros(len(grams), np.uint8), np.arange(len(grams)), 0
+        while len(left) and step < self.top[order]:
             step += 1
             left = left[self.has(order, grams[left], step)]
-            level[left] = step
-        return np.where(level > 0, BASE ** (level - 1.0), 0.0)
+            found[left] = step
+        return found
+
+    def counts(self, order: int, grams: np.ndarray) -> np.ndarray:
+        return quantised(self.levels(order, grams))
 
 
 def prints(grams: np.ndarray) -> np.ndarray:
@@ -101,6 +107,11 @@ def merged(values: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return found, np.bincount(which, counts, len(found)).astype(np.int64)
 
 
+def keys(pairs: np.ndarray, shards: int) -> np.ndarray:
+    """A bigram's shard and print in one number."""
+    return pairs % np.uint64(shards) << np.uint64(32) | pairs >> np.uint64(32)
+
+
 def by_shard(values: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     """The order that puts hashes by shard and value, and where each shard begins."""
     shard = (values % np.uint64(shards)).astype(np.int64)
@@ -117,9 +128,8 @@ def counted(shards: int):
         for frame in frames:
             for _, texts in T.batches(T.text_column(frame)):
                 hashes, at = tokens(texts)
-                pairs = bigrams(hashes, at)[1]
                 held[0].append(hashes)
-                held[1].append(pairs % np.uint64(shards) << np.uint64(32) | pairs >> np.uint64(32))
+                held[1].append(keys(bigrams(hashes, at)[1], shards))
                 size += len(hashes)
                 if size > BUFFER:
                     yield dealt(held, shards)
@@ -143,8 +153,8 @@ def dealt(held: list[list[np.ndarray]], shards: int) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["shard", "n", "grams", "counts"])
 
 
-def built(most_bits: int):
-    """A shard's words with their exact counts, and its segment of the filter, of most_bits at most."""
+def built(most_bits: int | None = None):
+    """A shard's words with their exact counts, and its segment of the filter: BITS for each entry, or most_bits where that is less."""
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         found = []
@@ -152,99 +162,106 @@ def built(most_bits: int):
             own = group[group["n"] == n]
             found.append(merged(np.frombuffer(b"".join(own["grams"]), kind), np.frombuffer(b"".join(own["counts"]), np.uint32)))
         top = [levels(counts) for _, counts in found]
-        size = max(64, -(-min(most_bits, BITS * int(sum(t.sum() for t in top))) // 64) * 64)
+        wanted = BITS * int(sum(t.sum() for t in top))
+        size = max(64, -(-(wanted if most_bits is None else min(most_bits, wanted)) // 64) * 64)
         bits = np.zeros(size, np.uint8)
         for order, (values, level) in enumerate(zip((prints(found[0][0]), found[1][0]), top, strict=True)):
             for at in range(1, int(level.max(initial=0)) + 1):
                 for place in Filter.places(order, values[level >= at], at, np.uint64(size)):
                     bits[place] = 1
         words, counts = found[0]
-        row = (group["shard"].iloc[0], words.tobytes(), counts.tobytes(), len(words), int(counts.sum()), np.packbits(bits, bitorder="little").tobytes())
-        return pd.DataFrame([row], columns=["shard", "words", "counts", "distinct", "total", "bits"])
+        highest = [int(level.max(initial=0)) for level in top]
+        row = (group["shard"].iloc[0], words.tobytes(), counts.tobytes(), len(words), int(counts.sum()), np.packbits(bits, bitorder="little").tobytes(), highest)
+        return pd.DataFrame([row], columns=["shard", "words", "counts", "distinct", "total", "bits", "top"])
 
     return run
 
 
 class Model:
-    """Exact word counts by shard, stored; the number of training tokens and of distinct ones; and the filter, which reaches the driver once."""
+    """Exact word counts and filter segments by shard, stored; and the number of training tokens and of distinct ones."""
 
-    def __init__(self, docs: DataFrame, shards: int, most_bytes: int = MOST_BYTES):
+    def __init__(self, docs: DataFrame, shards: int):
         training = docs.where(~F.col("held_out")).select("text")
         parts = training.mapInPandas(counted(shards), "shard long, n int, grams binary, counts binary")
-        schema = "shard long, words binary, counts binary, distinct long, total long, bits binary"
-        self.table = T.written(parts.groupBy("shard").applyInPandas(built(most_bytes * 8 // shards), schema), "ngram_counts")
-        rows = self.table.select("shard", "distinct", "total", "bits").collect()
-        self.tokens, self.distinct = sum(r["total"] for r in rows), sum(r["distinct"] for r in rows)
-        size = np.full(shards, 64, np.uint64)  # of a shard without n-grams: the 64 bits of 0 at the end
-        first = np.full(shards, sum(len(r["bits"]) for r in rows) * 8, np.int64)
-        at = 0
-        for row in rows:
-            first[row["shard"]], size[row["shard"]] = at, len(row["bits"]) * 8
-            at += len(row["bits"]) * 8
-        self.filter = Filter(np.frombuffer(b"".join([bytes(r["bits"]) for r in rows] + [bytes(8)]), np.uint8), first, size)
-
-
-def score(docs: DataFrame, most_bytes: int = MOST_BYTES) -> DataFrame:
+        schema = "shard long, words binary, counts binary, distinct long, total long, bits binary, top array<int>"
+        self.table = T.written(parts.groupBy("shard").applyInPandas(built(), schema), "ngram_counts")
+        sums = self.table.agg(F.sum("total"), F.sum("distinct")).first()
+        self.tokens, self.distinct = sums[0] or 0, sums[1] or 0
+
+
+def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, shards = total // BLOCK_BYTES + 1, total // SHARD_BYTES + 1
     doc_id, text = F.col("doc_id").cast("string"), F.coalesce(F.col("text"), F.lit(""))
     block = F.pmod(F.xxhash64(doc_id, F.xxhash64(text)), F.lit(blocks))
     rows = docs.select(block.alias("block"), doc_id.alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), F.col("text"))
-    model = Model(rows, shards, most_bytes)
+    model = Model(rows, shards)
     train, distinct = model.tokens, model.distinct
-    table = docs.sparkSession.sparkContext.broadcast((model.filter.bits, model.filter.first, model.filter.size))
     floor = train + 0.5 * (distinct + 1)
 
-    def block_words(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-        """A block's distinct words by shard, and where each shard's begin."""
-        words = np.unique(np.concatenate([np.unique(tokens(texts)[0]) for _, texts in T.batches(T.text_column(frame))]))
+    def block_grams(held: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A block's distinct words by shard and where each shard's begin; and the same of its bigrams, as keys."""
+        words = np.unique(np.concatenate([np.unique(hashes) for hashes, _ in held]))
         order, edges = by_shard(words, shards)
-        return words[order], edges
+        pairs = np.unique(np.concatenate([np.unique(keys(bigrams(*own)[1], shards)) for own in held]))
+        return words[order], edges, pairs, np.searchsorted(pairs, np.arange(shards + 1, dtype=np.uint64) << np.uint64(32))
+
+    def block_tokens(frame: pd.DataFrame) -> list[tuple[np.ndarray, np.ndarray]]:
+        return [tokens(texts) for _, texts in T.batches(T.text_column(frame))]
 
     def asked(frame: pd.DataFrame) -> pd.DataFrame:
-        words, edges = block_words(frame)
-        rows = [(s, frame["block"].iloc[0], words[a:b].tobytes()) for s, (a, b) in enumerate(zip(edges, edges[1:], strict=False)) if b > a]
-        return pd.DataFrame(rows, columns=["shard", "block", "words"])
+        words, edges, pairs, borders = block_grams(block_tokens(frame))
+        own, block = pairs.astype(np.uint32), frame["block"].iloc[0]
+        ends = zip(edges, edges[1:], borders, borders[1:], strict=False)
+        rows = [(s, block, words[a:b].tobytes(), own[c:d].tobytes()) for s, (a, b, c, d) in enumerate(ends) if b > a or d > c]
+        return pd.DataFrame(rows, columns=["shard", "block", "words", "pairs"])
 
     def answered(group: pd.DataFrame, counts: pd.DataFrame) -> pd.DataFrame:
-        words = np.frombuffer(b"".join(counts["words"]), np.uint64)
-        number = np.frombuffer(b"".join(counts["counts"]), np.int64)
-        out = []
-        for raw in group["words"]:
-            own = np.frombuffer(raw, np.uint64)
-            at = np.minimum(np.searchsorted(words, own), max(0, len(words) - 1))
-            out.append((np.where(words[at] == own, number[at], 0) if len(words) else np.zeros(len(own), np.int64)).tobytes())
-        return pd.DataFrame({"block": group["block"], "shard": group["shard"], "counts": out})
+        words, number = np.zeros(1, np.uint64), np.zeros(1, np.int64)
+        segment = Filter(np.zeros(8, np.uint8), np.zeros(1, np.int64), np.full(1, 64, np.uint64), (0, 0))  # of a shard without n-grams
+        if len(counts):
+            row = counts.iloc[0]
+            segment = Filter(np.frombuffer(row["bits"], np.uint8), np.zeros(1, np.int64), np.full(1, len(row["bits"]) * 8, np.uint64), tuple(row["top"]))
+            if row["words"]:
+                words, number = np.frombuffer(row["words"], np.uint64), np.frombuffer(row["counts"], np.int64)
+        single, which = np.unique(np.frombuffer(b"".join(group["words"]), np.uint64), return_inverse=True)
+        at = np.minimum(np.searchsorted(words, single), len(words) - 1)
+        exact, seen = np.where(words[at] == single, number[at], 0)[which], segment.levels(0, single)[which]
+        pairs, which = np.unique(np.frombuffer(b"".join(group["pairs"]), np.uint32), return_inverse=True)
+        together = segment.levels(1, pairs.astype(np.uint64) << np.uint64(32))[which]
+        upto = [np.cumsum([len(raw) // width for raw in group[c]])[:-1] for c, width in (("words", 8), ("pairs", 4))]
+        parts = [[x.tobytes() for x in np.split(values, cut)] for values, cut in ((exact, upto[0]), (seen, upto[0]), (together, upto[1]))]
+        return pd.DataFrame({"block": group["block"], "shard": group["shard"], "counts": parts[0], "levels": parts[1], "pair_levels": parts[2]})
 
     def scored(frame: pd.DataFrame, known: pd.DataFrame) -> pd.DataFrame:
-        words, _ = block_words(frame)
-        number = np.frombuffer(b"".join(known.sort_values("shard")["counts"]), np.int64)
+        held, known = block_tokens(frame), known.sort_values("shard")
+        words, _, pairs, _ = block_grams(held)
+        number, read, read_pairs = (np.frombuffer(b"".join(known[c]), kind) for c, kind in (("counts", np.int64), ("levels", np.uint8), ("pair_levels", np.uint8)))
         order = np.argsort(words)
-        words, number = words[order], number[order]
-        parts, read_counts = [], Filter(*table.value).counts
-        for _, texts in T.batches(T.text_column(frame)):
-            hashes, at = tokens(texts)
-            exact = number[np.searchsorted(words, hashes)]
+        words, number, read, read_pairs = words[order], number[order], quantised(read[order]), quantised(read_pairs)
+        end, parts = read[np.searchsorted(words, np.uint64(END))], []
+        for hashes, at in held:
+            place = np.searchsorted(words, hashes)
+            exact, seen = number[place], read[place]
             size = np.diff(at)
-            text = np.repeat(np.arange(len(texts)), size)
+            text = np.repeat(np.arange(len(size)), size)
             base = np.log10((exact + 0.5) / floor)
-            context, pairs = bigrams(hashes, at)
-            single, which = np.unique(hashes, return_inverse=True)
-            seen = read_counts(0, single)
-            position = np.minimum(np.searchsorted(single, context), len(single) - 1)
-            unigram = (seen[which] + 0.5) / floor
-            before = np.where(single[position] == context, seen[position], read_counts(0, np.array([END], np.uint64))[0])
-            together = np.minimum(read_counts(1, pairs), np.minimum(before, seen[which]))
+            unigram = (seen + 0.5) / floor
+            before = np.empty_like(seen)
+            before[1:], before[at[:-1]] = seen[:-1], end
+            single, which = np.unique(keys(bigrams(hashes, at)[1], shards), return_inverse=True)
+            together = np.minimum(read_pairs[np.searchsorted(pairs, single)][which], np.minimum(before, seen))
             model_score = np.log10((together + PRIOR * unigram) / (before + PRIOR))
-            total = [np.bincount(text, x, len(texts)) for x in (exact > 0, base, model_score)]
+            total = [np.bincount(text, x, len(size)) for x in (exact > 0, base, model_score)]
             parts.append(pd.DataFrame({"n_tokens": size, "n_known": total[0].astype(np.int64), "base_score": total[1], "score": np.minimum(total[2], 0)}))
         return pd.concat([frame[["doc_id", "held_out"]].reset_index(drop=True), pd.concat(parts, ignore_index=True)], axis=1)
 
     by_block = rows.groupBy("block")
-    asking = by_block.applyInPandas(asked, "shard long, block long, words binary")
-    counts = model.table.select("shard", "words", "counts")
-    answers = asking.groupBy("shard").cogroup(counts.groupBy("shard")).applyInPandas(answered, "block long, shard long, counts binary")
+    asking = by_block.applyInPandas(asked, "shard long, block long, words binary, pairs binary")
+    counts = model.table.select("shard", "words", "counts", "bits", "top")
+    answer = "block long, shard long, counts binary, levels binary, pair_levels binary"
+    answers = asking.groupBy("shard").cogroup(counts.groupBy("shard")).applyInPandas(answered, answer)
     schema = "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     found = by_block.cogroup(answers.groupBy("block")).applyInPandas(scored, schema)
     return found.select(
