@@ -1,0 +1,36 @@
+"""The keyword gate loses no match of the rules it guards."""
+
+import pytest
+
+from eventmill.llm import licenses
+
+SCHEMA = "doc_id long, text string"
+SENTENCES = {
+    "Creative Commons Attribution 4.0 International": "cc-by-4.0", "Creative Commons Zero": "cc0", "distributed under GNU GPL v3": "gpl-3", "available under Apache 2.0": "apache-2.0",
+    "you can redistribute it and/or modify it under the terms of the GNU General Public License": "gpl", "an MPL-2.0 library": "mpl-2.0", "under the Boost Software 1.0": "bsl-1.0",
+    "EUROPEAN\nUNION public, version 1.2": "eupl-1.2", "Creative Commons (by) share-alike 3.0": "cc-by-sa-3.0", "LGPL": None, "replay 3 0 and cpls 1.0, according to 4.0": None,
+}
+
+
+def every_form():
+    """One text for each rule and each of its keywords of names, from the pattern's own words."""
+    texts = []
+    for label, name, versions in licenses.FAMILIES:
+        for own in licenses.names(name):
+            word = own.strip()
+            texts += [f"so {word} licence, x", f"x licensed under the {word}.", f"licence is {word}", f"SPDX-License-Identifier: {word}", word]
+            texts += [f"{word} v{v.replace(' ', '.')} y" for v in versions]
+    return texts
+
+
+def test_texts_without_the_word_license(spark):
+    found = licenses.scan(spark.createDataFrame(list(enumerate(SENTENCES)), SCHEMA)).collect()
+    for row, label in zip(sorted(found, key=lambda r: r["doc_id"]), SENTENCES.values(), strict=True):
+        assert (label in row["labels"]) if label else row["labels"] == [], row
+
+
+@pytest.mark.parametrize("which", ["forms", "odd", "given"])
+def test_gated_is_ungated(spark, request, which):
+    docs = spark.createDataFrame(list(enumerate([*SENTENCES, *every_form()])), SCHEMA).repartition(8) if which == "forms" else request.getfixturevalue(which)
+    gated, plain = (sorted(map(tuple, licenses.scan(docs, gated).collect()), key=repr) for gated in (True, False))
+    assert gated == plain and (which != "forms" or sum(len(r[6]) > 0 for r in gated) > 300)
