@@ -6,7 +6,7 @@ per digest, anti-joined with the index by a sort-merge join that reads the index
 Texts are equal when identical after lower-casing A-Z; a null text counts as empty. Within one batch the largest doc_id of equal
 texts stays; a text that the index already holds keeps the document that entered it first. Null ids sort below all others, and
 a group with null ids alone has a null keep_id. A doc_id names one document: rows that repeat the staying doc_id with the same text
-all count in group_size and are all marked kept. An empty batch changes nothing. Other columns are never read.
+all count in group_size and are all marked kept; of these, as of null ids alone, `distinct` keeps one row. An empty batch changes nothing. Other columns are never read.
 """
 
 from __future__ import annotations
@@ -71,8 +71,13 @@ def verdicts(index: DigestIndex, docs: DataFrame) -> DataFrame:
 
 
 def distinct(index: DigestIndex, docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns; the batch enters the index."""
-    _, classes = index.add(docs)
+    """One row of each document that stays, with all its columns; the batch enters the index."""
+    digests, classes = index.add(docs)
+    counts = digests.groupBy("digest", "doc_id").agg(F.count("*").alias("copies"))
+    own = classes.select(F.col("digest").alias("known"), "keep_id")
+    found = T.written(counts.join(own, (F.col("digest") == F.col("known")) & F.col("doc_id").eqNullSafe(F.col("keep_id"))).select("known", "keep_id", "copies"), "staying")
     rows = T.carried(docs, F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest"))
-    found = classes.select(F.col("digest").alias("known"), "keep_id")
-    return T.uncarried(rows.join(found, (F.col("digest") == F.col("known")) & F.col("doc_id").eqNullSafe(F.col("keep_id")), "left_semi"), docs)
+    kept = rows.join(found, (F.col("digest") == F.col("known")) & F.col("doc_id").eqNullSafe(F.col("keep_id")))
+    if found.where("copies > 1").isEmpty():
+        return T.uncarried(kept, docs)
+    return T.uncarried(T.one_each(kept.select("carried", "digest", "copies"), ["digest"], "kept_copies"), docs)

@@ -12,7 +12,7 @@ then verified against the whole bucket. Only pairs already known to be in one gr
 
 A null text counts as empty. A document without words has an empty set, is linked with nothing and stays. Null ids are no ids: a group's
 component_id is its smallest id that is not null, and a row with a null id is kept only if its whole group has none. Rows that repeat a
-document's id are that document. Empty tables give no rows; other columns are not read.
+document's id are that document; `one_of_each` keeps one row of a group, whatever its ids. Empty tables give no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -77,7 +77,7 @@ def signed(percent: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            keys, known = frame["key"].to_numpy(), frame["known"].to_numpy()
+            keys, known, prints = frame["key"].to_numpy(), frame["known"].to_numpy(), frame["print"].to_numpy()
             for first, texts in T.batches(T.text_column(frame)):
                 grams, text = shingles(texts)
                 at = np.searchsorted(text, np.arange(len(texts) + 1))
@@ -92,7 +92,7 @@ def signed(percent: int):
                 bands = [[xxhash.xxh3_64_intdigest(b.tobytes(), seed=k) - (1 << 63) for k, b in enumerate(r)] for r in rows]
                 sets = [xxhash.xxh3_128_digest(grams[a:b].tobytes()) for a, b in zip(at, at[1:], strict=False)]
                 own = slice(first, first + len(texts))
-                yield pd.DataFrame({"key": keys[own], "known": known[own], "n_shingles": np.diff(at), "node": sets, "bands": bands})
+                yield pd.DataFrame({"key": keys[own], "known": known[own], "print": prints[own], "n_shingles": np.diff(at), "node": sets, "bands": bands})
 
     return run
 
@@ -145,13 +145,18 @@ def key_columns() -> tuple[Column, Column]:
     return F.coalesce(doc_id, F.xxhash64(F.coalesce(F.col("text"), F.lit("")))).alias("key"), doc_id.isNotNull().alias("known")
 
 
+def text_print() -> Column:
+    return F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("print")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(*key_columns(), "text")
 
 
 def signatures(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """key, known, n_shingles, node (digest of the set) and bands of every row, stored."""
-    return T.written(keyed(docs).mapInPandas(signed(percent), "key long, known boolean, n_shingles long, node binary, bands array<long>"), "signatures")
+    """key, known, print (hash of the text), n_shingles, node (digest of the set) and bands of every row, stored."""
+    rows = docs.select(*key_columns(), text_print(), "text")
+    return T.written(rows.mapInPandas(signed(percent), "key long, known boolean, print long, n_shingles long, node binary, bands array<long>"), "signatures")
 
 
 def group_nodes(docs: DataFrame, rows: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -251,6 +256,14 @@ def near_groups(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The documents that stay, with all their columns: the smallest id of every group, and every row without words."""
-    kept = verdicts(docs, percent).where("kept").select("key", "known").distinct()
-    return T.uncarried(T.carried(docs, *key_columns()).join(kept, ["key", "known"], "left_semi"), docs)
+    """One row of each document that stays, with all its columns: the smallest id of every group (without ids the least hash of a text), and
+    every document without words."""
+    group = F.when(F.col("n_shingles") > 0, F.col("label")).otherwise(F.col("key").cast("string").cast("binary"))
+    kept = verdicts(docs, percent).where("kept").groupBy((F.col("n_shingles") > 0).alias("has_words"), group.alias("group"), "known", "key", "print").agg(F.count("*").alias("copies"))
+    one = F.min_by(F.struct("key", "known", "print", "copies"), F.struct("key", "print"))
+    found = T.written(kept.groupBy("has_words", "group", "known").agg(one.alias("one")).select("one.*"), "staying")
+    names = ["key", "known", "print"]
+    rows = T.carried(docs, *key_columns(), text_print()).join(found, names)
+    if found.where("copies > 1").isEmpty():
+        return T.uncarried(rows, docs)
+    return T.uncarried(T.one_each(rows, names, "kept_copies"), docs)

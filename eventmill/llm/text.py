@@ -47,6 +47,14 @@ def uncarried(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[F.col(f"carried.`{c}`").alias(c) for c in docs.columns])
 
 
+def one_each(rows: DataFrame, names: list[str], name: str) -> DataFrame:
+    """One row of (carried, copies and names) for each value of names: the one whose own columns have the least hash. Only rows with copies
+    are compared; they are stored, so that those of one value are combined where they are read."""
+    stored = written(rows, name)
+    again = stored.where("copies > 1").groupBy(*names).agg(F.min_by("carried", F.xxhash64("carried")).alias("carried"))
+    return stored.where("copies = 1").select("carried").unionByName(again.select("carried"))
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
