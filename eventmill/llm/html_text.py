@@ -6,9 +6,11 @@ by entropy over the host's pages:
 * presentation: how evenly the pages that have an element spread over its child sequences (1: each page its own, 0: all alike);
 * content: 1 - log_m(k) for a block of text that stands at the same place on k of the host's m pages (1: on one page only, 0: on all).
 
-A block's importance is the mean of both, (1 - GAMMA) * presentation of its parent + GAMMA * content, and branches below the threshold are cut;
-inside an article the threshold is lower. Hosts with fewer than LEAST_PAGES pages say too little, and none of their blocks is cut. Branches
+A block's importance is its content times GAMMA + (1 - GAMMA) * presentation of its parent, so what stands on every page has none; blocks below
+the threshold are cut, and inside an article the threshold is lower. Hosts with fewer than LEAST_PAGES pages say too little. Branches
 that their own markup names (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments) have the importance 0 on any host.
+Inside an article only tags, roles, hidden marks and comments do; another word in a class or id makes blocks doubtful there, which are cut below a
+higher threshold, or on a host that says too little. Inline elements go with their block, and ids of headings and sections say nothing.
 Where a page has an article or main element, the blocks inside are the text; else all blocks of the body are.
 
 The first pass over the pages sends hashes only: one row for each block and page. The second sends each page's blocks, compressed, to meet the
@@ -35,11 +37,11 @@ from pyspark.sql import functions as F
 
 from eventmill.llm import text as T
 
-GAMMA, THRESHOLD, ARTICLE_THRESHOLD, LEAST_PAGES = 0.9, 0.1, 0.05, 8
+GAMMA, THRESHOLD, ARTICLE_THRESHOLD, DOUBT_THRESHOLD, LEAST_PAGES = 0.9, 0.1, 0.05, 0.5, 8
 
 #: Fixed values of HTML: elements without content, with text that is no markup, and those that break a line of text.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp svg math template object select".split())
+RAW = frozenset("script style textarea title iframe noembed noframes noscript xmp svg template object select".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head"
     " header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
@@ -49,7 +51,7 @@ CLOSES = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}),
     "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tbody": ({"tbody", "thead", "tfoot", "tr"}, {"table"}), "option": ({"option"}, {"select"}),
 }
-NOISE_TAGS = frozenset("nav aside form dialog menu button input label fieldset head audio video canvas".split()) | RAW
+NOISE_TAGS = frozenset("nav aside form dialog menu button input label fieldset head audio video canvas annotation annotation-xml".split()) | RAW
 NOISE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
 NOISE_NAMES = frozenset(
     "nav navbar navigation menu menubar submenu breadcrumb breadcrumbs sidebar sidebars aside rail footer foot masthead topbar toolbar header"
@@ -59,7 +61,10 @@ NOISE_NAMES = frozenset(
     " comment comments commentlist disqus reply replies respond discussion reviews feedback"
     " related recommended recommendations teaser teasers widget widgets pagination pager paging skip tags copyright legal disclaimer".split()
 )
-PLAIN = frozenset(("html", "body", "main", "article"))
+COMMENT_NAMES = frozenset("comment comments commentlist disqus reply replies respond".split())
+#: Words after which a comment's name tells a state of the page, such as comments-open.
+STATES = frozenset("open closed on off enabled disabled count".split())
+PLAIN, NO_IDS = frozenset(("html", "body")), frozenset("h1 h2 h3 h4 h5 h6 section".split())
 TAG = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NAME = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
@@ -71,33 +76,43 @@ class Element(NamedTuple):
     noise: bool
     article: bool
     children: list[str]
+    doubt: bool = False
 
 
 class Block(NamedTuple):
-    """A block of text: its element's path, its parent's path, and whether it stands in an article."""
+    """A block of text: its element's path, its parent's path, whether it stands in an article, and whether a name there makes it doubtful."""
 
     path: int
     parent: int
     article: bool
     text: str
+    doubt: bool = False
 
 
-def named_noise(tag: str, attributes: str, inside_article: bool) -> tuple[bool, str]:
-    """Whether an element's own markup says that it is no content; and its classes."""
+def named_noise(tag: str, attributes: str, inside_article: bool) -> tuple[bool, bool, str]:
+    """Whether an element's own markup says that it is no content, whether it only makes that likely; and its classes."""
     found = {m[1].lower(): html.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(attributes)} if attributes.strip(" /") else {}
     style = found.get("style", "").replace(" ", "").lower()
     classes = " ".join(found.get("class", "").split())
     if tag in NOISE_TAGS or (tag == "header" and not inside_article) or tag == "footer":
-        return True, classes
+        return True, False, classes
     if tag in PLAIN:
-        return False, classes
+        return False, False, classes
     if "hidden" in found or found.get("aria-hidden") == "true" or "display:none" in style or found.get("role", "").lower() in NOISE_ROLES:
-        return True, classes
-    for word in [*classes.split(), *found.get("id", "").split()]:
+        return True, False, classes
+    doubt = False
+    for word in [*classes.split(), *([] if tag in NO_IDS else found.get("id", "").split())]:
         names = [x.lower() for x in NAME.findall(word)]
-        if names and names[0] not in ("has", "with", "no", "without", "js") and not NOISE_NAMES.isdisjoint(names) and not (inside_article and "header" in names):
-            return True, classes
-    return False, classes
+        if not names or names[0] in ("has", "with", "no", "without", "js") or NOISE_NAMES.isdisjoint(names) or (inside_article and "header" in names):
+            continue
+        comment = not COMMENT_NAMES.isdisjoint(names) and names[-1] not in STATES
+        if tag in ("article", "main") or inside_article:
+            if comment and tag in BLOCK:
+                return True, False, classes
+            doubt |= tag in BLOCK and tag not in ("article", "main")
+        else:
+            return True, False, classes
+    return False, doubt, classes
 
 
 def parse(page: str) -> tuple[list[Block], dict[int, int]]:
@@ -113,7 +128,7 @@ def parse(page: str) -> tuple[list[Block], dict[int, int]]:
             parts.clear()
             at = next(i for i in range(len(stack) - 1, -1, -1) if i == 0 or stack[i].tag in BLOCK)
             if line:
-                blocks.append(Block(stack[at].path, stack[max(0, at - 1)].path, stack[at].article, line))
+                blocks.append(Block(stack[at].path, stack[max(0, at - 1)].path, stack[at].article, line, stack[at].doubt))
 
     def pop() -> None:
         if stack[-1].tag in BLOCK:
@@ -157,25 +172,26 @@ def parse(page: str) -> tuple[list[Block], dict[int, int]]:
         if tag in BLOCK:
             flush()
         above = stack[-1]
-        noise, classes = (True, "") if above.noise else named_noise(tag, found[3], above.article)
+        noise, doubt, classes = (True, False, "") if above.noise else named_noise(tag, found[3], above.article)
         if tag in RAW:
             close = re.compile(f"</{re.escape(tag)}(?=[\\s/>]|$)", re.I).search(page, step)
             step = close.start() if close else end
-        if not noise:
+        if not noise and not doubt:
             above.children.append(tag)
         path = 0 if noise else xxhash.xxh3_64_intdigest(f"{above.path} {tag} {classes}".encode("utf-8", "surrogatepass")) >> 1
-        stack.append(Element(tag, path, noise, above.article or (tag in ("article", "main") and not noise), []))
+        stack.append(Element(tag, path, noise, above.article or (tag in ("article", "main") and not noise), [], above.doubt or doubt))
     flush()
     while len(stack) > 1:
         pop()
     return blocks, styles
 
 
-def candidates(page: str | None) -> tuple[list[Block], dict[int, int]]:
-    """The blocks that may be the text: those of articles where there are any."""
+def candidates(page: str | None, doubtful: bool = False) -> tuple[list[Block], dict[int, int]]:
+    """The blocks that may be the text: those of articles where there are any; the doubtful ones only if asked for."""
     blocks, styles = parse(page) if isinstance(page, str) else ([], {})
     inside = [b for b in blocks if b.article]
-    return inside or blocks, styles
+    taken = inside if any(not b.doubt for b in inside) else blocks
+    return [b for b in taken if doubtful or not b.doubt], styles
 
 
 def host_of(url: str | None) -> int:
@@ -187,27 +203,27 @@ def host_of(url: str | None) -> int:
 
 
 def signature(host: int, block: Block) -> int:
-    return xxhash.xxh3_64_intdigest(f"{host} {block.path} {block.text}".encode("utf-8", "surrogatepass")) >> 1
+    return xxhash.xxh3_64_intdigest(f"{host} {block.path} {'?' * block.doubt}{block.text}".encode("utf-8", "surrogatepass")) >> 1
 
 
 def nodes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows (page, host, node, style, article): style is null for a block of text, whose node is its signature and whose parent goes with it."""
+    """Rows (page, host, node, style, article, parent, doubt): style is null for a block of text, whose node is its signature and whose parent goes with it."""
     for frame in frames:
         rows = []
         for key, url, page in zip(frame["key"], frame["url"], frame["html"], strict=True):
             host = host_of(url)
-            blocks, styles = candidates(page)
-            rows += [(key, host, host ^ path, style, False, 0) for path, style in styles.items()]
-            rows += [(key, host, s, 0, b.article, host ^ b.parent) for s, b in {signature(host, b): b for b in blocks}.items()]
-            rows.append((key, host, 0, 0, False, 0))
-        yield pd.DataFrame(rows, columns=["page", "host", "node", "style", "article", "parent"])
+            blocks, styles = candidates(page, doubtful=True)
+            rows += [(key, host, host ^ path, style, False, 0, False) for path, style in styles.items()]
+            rows += [(key, host, s, 0, b.article, host ^ b.parent, b.doubt) for s, b in {signature(host, b): b for b in blocks}.items()]
+            rows.append((key, host, 0, 0, False, 0, False))
+        yield pd.DataFrame(rows, columns=["page", "host", "node", "style", "article", "parent", "doubt"])
 
 
 def packed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in frames:
         signs, texts = [], []
         for url, page in zip(frame["url"], frame["html"], strict=True):
-            host, blocks = host_of(url), candidates(page)[0]
+            host, blocks = host_of(url), candidates(page, doubtful=True)[0]
             signs.append([signature(host, b) for b in blocks])
             texts.append(zlib.compress("\n".join(b.text for b in blocks).encode("utf-8", "surrogatepass"), 5))
         yield pd.DataFrame({"key": frame["key"], "page_id": frame["page_id"], "url": frame["url"], "signs": signs, "blocks": texts})
@@ -231,7 +247,7 @@ def page_key() -> Column:
 def style_tree(pages: DataFrame) -> DataFrame:
     """The nodes of all hosts' trees, one row for each page that has them, stored: see `nodes`."""
     rows = pages.select(page_key().alias("key"), "url", "html")
-    found = rows.mapInPandas(nodes, "page long, host long, node long, style long, article boolean, parent long")
+    found = rows.mapInPandas(nodes, "page long, host long, node long, style long, article boolean, parent long, doubt boolean")
     return T.written(found, "style_tree")
 
 
@@ -245,20 +261,21 @@ def presentation(tree: DataFrame) -> DataFrame:
 def unimportant(tree: DataFrame) -> DataFrame:
     """node, importance of the blocks to cut."""
     # Stored, as a join with a stored table can split a host's or a parent's rows, and one with an aggregate cannot.
-    hosts = T.written(tree.where("node = 0").groupBy("host").agg(F.count("*").alias("m")).where(F.col("m") >= LEAST_PAGES), "hosts")
-    blocks = tree.where("style = 0 AND node <> 0").groupBy("node", "host", "parent", "article").agg(F.count("*").alias("k"))
-    repeated = blocks.where("k > 1").join(hosts, "host")
-    content = 1 - F.log("k") / F.log("m")
-    limit = F.when(F.col("article"), ARTICLE_THRESHOLD).otherwise(THRESHOLD)
-    maybe = repeated.withColumn("content", content).where(GAMMA * F.col("content") < limit)
+    hosts = T.written(tree.where("node = 0").groupBy("host").agg(F.count("*").alias("m")), "hosts")
+    blocks = tree.where("style = 0 AND node <> 0").groupBy("node", "host", "parent", "article", "doubt").agg(F.count("*").alias("k"))
+    found = blocks.where("k > 1 OR doubt").join(hosts, "host")
+    known = F.col("m") >= LEAST_PAGES
+    limit = F.when(F.col("doubt"), DOUBT_THRESHOLD).when(F.col("article"), ARTICLE_THRESHOLD).otherwise(THRESHOLD)
+    content = F.when(known, 1 - F.log("k") / F.log("m")).otherwise(0.0)
+    maybe = found.where(known | F.col("doubt")).withColumn("content", content).where(GAMMA * F.col("content") < limit)
     parents = T.written(presentation(tree).withColumnRenamed("node", "parent"), "presentation")
     weighed = maybe.join(parents, "parent", "left")
-    importance = (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0)) + GAMMA * F.col("content")
+    importance = F.col("content") * (GAMMA + (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0)))
     return weighed.withColumn("importance", importance).where(F.col("importance") < limit).groupBy("node").agg(F.min("importance").alias("importance"))
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text and n_cut (blocks that the style tree cut) of every row."""
+    """page_id, url, text and n_cut (blocks that the style tree cut, doubtful ones too) of every row."""
     tree = style_tree(pages)
     low = T.written(unimportant(tree), "unimportant")
     hits = tree.where("style = 0 AND node <> 0").select("page", "node").join(low.select("node"), "node", "left_semi")

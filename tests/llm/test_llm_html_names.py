@@ -1,0 +1,42 @@
+"""Names inside articles are asked about with the host's pages; marks of nested articles count."""
+
+from eventmill.llm import html_text
+
+SCHEMA = "page_id long, url string, html string"
+
+
+def text(page):
+    return "\n".join(b.text for b in html_text.candidates(page)[0])
+
+
+def test_ids_of_headings_and_sections_and_math():
+    page = """<article><h2 id="copyright-law">Law</h2><section id="discussion"><p>We discuss <math><mi>x</mi></math>.</p></section>
+    <h2 id="search-methods">Search</h2><p>Use <a class="search">this</a>.</p></article>"""
+    assert text(page) == "Law\nWe discuss x.\nSearch\nUse this."
+    assert text('<body><h2 id="search-methods">Search</h2><section id="reviews"><p>r</p></section><div class="sidebar">s</div></body>') == "Search\nr"
+
+
+def test_nested_articles_by_their_marks():
+    page = '<main><article class="post comments-open"><p>Story</p></article>{}</main>'
+    for mark in ('class="comment"', 'id="div-comment-3"', "hidden", 'aria-hidden="true"', 'style="display: none"', 'role="dialog"'):
+        assert text(page.format(f"<article {mark}><p>Nice!</p></article>")) == "Story", mark
+    assert text(page.format('<article class="share"><p>More</p></article>')) == "Story\nMore"
+
+
+def site(n):
+    return [
+        (i, f"http://c.example/{i}", f'<article><h1>Title {i}</h1><div class="legal-analysis"><p>Analysis {i}</p></div><div class="share"><p>Tell your friends</p></div>'
+         + "".join(f"<p>Part {i} {j}</p>" for j in range(i)) + "<p>Read us daily</p></article>")
+        for i in range(n)
+    ]
+
+
+def test_the_host_decides_on_names_and_repeats_inside_articles(spark):
+    """Every page has its own child sequence, so presentation is 1."""
+    found = {r["page_id"]: (r["text"], r["n_cut"]) for r in html_text.extract(spark.createDataFrame(site(12), SCHEMA)).collect()}
+    assert found == {i: ("\n".join([f"Title {i}", f"Analysis {i}", *[f"Part {i} {j}" for j in range(i)]]), 2) for i in range(12)}
+
+
+def test_names_decide_on_small_hosts(spark):
+    found = {r["page_id"]: r["text"] for r in html_text.extract(spark.createDataFrame(site(3), SCHEMA)).collect()}
+    assert found[0] == "Title 0\nRead us daily"
