@@ -23,17 +23,14 @@ from eventmill.llm import text as T
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.12
-#: The trusted ids are the only rows that are broadcast; so many at most (8 bytes each), those with the smallest hashes.
-TRUSTED_IDS = 50_000
 MIN_WORDS, WINDOW, REPEAT_PERCENT = 10, 5, 20
 SYMBOLS = "#*$%&|<>"
 STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def trusted_ids(labels: DataFrame, ids: int = TRUSTED_IDS) -> DataFrame:
-    """Ids of documents labelled good and harmless: the trusted target, at most `ids` of them."""
-    good = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(ids)
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids of all documents labelled good, toxic ones too: the trusted target."""
+    return labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
 
 
 def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -58,7 +55,7 @@ def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray | None:
     """log(p_trusted / p_raw) of each bucket, or None without trusted text. BUCKETS rows reach the driver, at any input size."""
-    flagged = docs.select("doc_id", "text").join(F.broadcast(trusted.select("doc_id", F.lit(True).alias("trusted"))), "doc_id", "left")
+    flagged = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left")
     parts = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")).mapInPandas(counted, "bucket long, raw long, trusted long")
     rows = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
     counts = np.zeros((2, BUCKETS))
