@@ -1,4 +1,4 @@
-"""Removal of long repeats by longest-previous-factor arrays over content-defined shards.
+"""Removal of long repeats by grouping fixed windows in content-defined shards.
 
 Every byte of a text that lies in a LENGTH-byte string that also starts in a document with a smaller id is removed; the copy in the
 smallest id stays. Texts are UTF-8 bytes, matches never cross documents, and strings are judged on the input.
@@ -7,9 +7,9 @@ smallest id stays. Texts are UTF-8 bytes, matches never cross documents, and str
    neighbouring windows mostly share one, so a text is a sequence of runs of windows.
 2. Blocks of documents send their distinct minimizers, as 32-bit prints, to shards by hash; a shard answers which ones occur in more than
    one document. Only runs of those can hold a repeat.
-3. Blocks send the bytes of those runs, each distinct one once with its smallest id, to shards by minimizer. A shard orders the windows
-   of its runs as suffixes, ties by document: where the longest previous factor of a window reaches LENGTH, the previous
-   smaller position in suffix order is its neighbour with the same LENGTH bytes, and the first of them is the earliest document.
+3. Blocks send the bytes of those runs, each distinct one once with its smallest id, to shards by minimizer. A shard sorts the windows
+   whose hash repeats by their LENGTH bytes, ties by document, and the first of equal ones is the earliest document. Only windows of LENGTH bytes
+   decide what is removed, so no suffix array and no longest previous factors are made.
 4. Blocks get one bit per window back, mark the covered bytes and cut them out.
 
 Texts travel once, to their block, and all later steps reuse that shuffle. Blocks and shards grow in number with the input, not in size; a
@@ -126,8 +126,7 @@ class Block:
 def earlier(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
     """For every window of segments, whether its bytes also start in a segment of a smaller document.
 
-    Windows are put in suffix order as far as length bytes, ties by document and place, so a window whose longest previous factor reaches
-    length stands right after an equal one; the first of equal ones is the earliest.
+    Windows whose hash repeats are sorted by their length bytes, ties by document and place; the first of equal ones is the earliest.
     """
     starts = np.cumsum(windows + length - 1) - (windows + length - 1)
     at, doc = spread(starts, windows), np.repeat(docs, windows)
