@@ -30,7 +30,7 @@ from eventmill.llm import text as T
 from eventmill.llm.components import components
 
 SHINGLE, PERCENT, ROWS, MISS = 5, 85, 4, 1e-5
-FAMILY, FAMILY_SHINGLES, CHUNK, LEADERS = 512, 1 << 20, 512, 4
+FAMILY, FAMILY_SHINGLES, CHUNK, LEADERS = 4096, 1 << 20, 512, 4
 ELEMENTS = 1 << 17
 
 
@@ -117,6 +117,31 @@ class Sets:
         common = np.bincount(self.owners[np.repeat(start - before, n) + np.arange(n.sum())], minlength=len(self.size))
         return np.flatnonzero(100 * common >= percent * (self.size[i] + self.size - common))
 
+    def keep(self, alive: np.ndarray) -> None:
+        """From now on only these are found."""
+        mask = alive[self.owners]
+        self.first = np.concatenate(([0], np.cumsum(mask)))[self.first]
+        self.owners = self.owners[mask]
+
+    def groups(self, percent: int) -> np.ndarray:
+        """The first member of each one's group of links. A member is compared with those alone that have no group yet, so
+        copies of one text are left out as soon as they are found."""
+        n = len(self.size)
+        group, alive, held = np.full(n, -1), np.ones(n, bool), n
+        for start in range(n):
+            if not alive[start]:
+                continue
+            alive[start], group[start], waiting = False, start, [start]
+            while waiting:
+                found = self.linked(waiting.pop(), percent)
+                found = found[alive[found]]
+                alive[found], group[found] = False, start
+                waiting += found.tolist()
+                if 2 * alive.sum() < held:
+                    held = int(alive.sum())
+                    self.keep(alive)
+        return group
+
 
 def grouped(percent: int):
     """Union-find over the links that the probes of one task have with any of its nodes."""
@@ -124,6 +149,8 @@ def grouped(percent: int):
     def run(family: pd.DataFrame) -> pd.DataFrame:
         family = family.sort_values(["node", "probe"], ascending=[True, False]).drop_duplicates("node", ignore_index=True)
         sets, root = Sets(T.text_column(family)), list(range(len(family)))
+        if family["probe"].all():
+            return pd.DataFrame({"node": family["node"], "label": family["node"].to_numpy()[sets.groups(percent)]})
 
         def find(x: int) -> int:
             while root[x] != x:

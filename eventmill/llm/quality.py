@@ -42,21 +42,25 @@ def buckets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
 
 def counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row for each bucket that a task has met."""
-    counts = np.zeros((2, BUCKETS), np.int64)
+    counts = np.zeros(BUCKETS, np.int64)
     for frame in frames:
-        trusted = frame["trusted"].to_numpy(bool)
-        for first, texts in T.batches(T.text_column(frame)):
-            _, _, bucket, text = buckets(texts)
-            counts[0] += np.bincount(bucket, minlength=BUCKETS)
-            counts[1] += np.bincount(bucket[trusted[first + text]], minlength=BUCKETS)
-    met = np.flatnonzero(counts[0])
-    yield pd.DataFrame({"bucket": met, "raw": counts[0][met], "trusted": counts[1][met]})
+        for _, texts in T.batches(T.text_column(frame)):
+            counts += np.bincount(buckets(texts)[2], minlength=BUCKETS)
+    met = np.flatnonzero(counts)
+    yield pd.DataFrame({"bucket": met, "n": counts[met]})
 
 
 def log_ratios(docs: DataFrame, trusted: DataFrame) -> np.ndarray | None:
-    """log(p_trusted / p_raw) of each bucket, or None without trusted text. BUCKETS rows reach the driver, at any input size."""
-    flagged = docs.select("doc_id", "text").join(trusted.select("doc_id", F.lit(True).alias("trusted")), "doc_id", "left")
-    parts = flagged.select("text", F.coalesce("trusted", F.lit(False)).alias("trusted")).mapInPandas(counted, "bucket long, raw long, trusted long")
+    """log(p_trusted / p_raw) of each bucket, or None without trusted text. BUCKETS rows reach the driver, at any input size.
+
+    All texts are counted where they are read. Only the trusted count needs a join, by shuffle at any size; rows without an id stay out of it,
+    and the ids are a stored table, so that adaptive execution can split an id that many rows share.
+    """
+    ids = T.written(trusted.select(F.col("doc_id").cast("long").alias("doc_id")), "trusted").hint("merge")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").where(F.col("doc_id").isNotNull()).join(ids, "doc_id", "left_semi")
+    raw, good = (texts.select("text").mapInPandas(counted, "bucket long, n long") for texts in (docs, own))
+    none = F.lit(0).cast("long")
+    parts = raw.select("bucket", F.col("n").alias("raw"), none.alias("trusted")).union(good.select("bucket", none, "n"))
     rows = parts.groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("trusted").alias("trusted")).toPandas()
     counts = np.zeros((2, BUCKETS))
     counts[0, rows["bucket"]], counts[1, rows["bucket"]] = rows["raw"], rows["trusted"]
