@@ -77,8 +77,8 @@ def load_days(
     anything is written; otherwise they go to the rejects table under their landing day.
     The gate has counted the days already, so a pipeline run passes ``counted`` and saves a scan.
 
-    The parsed rows are stored beside the table first and their counts compared with the counts made before;
-    only then are the days replaced. Whatever fails earlier leaves the old rows where they were. A tolerant load
+    The parsed rows are stored in their final layout first and their counts compared with the counts made before;
+    only then do the days point to them, without a second write. Whatever fails earlier leaves the old rows where they were. A tolerant load
     (``PERMISSIVE``) has no count to compare with, because only the full parse tells which lines are malformed.
 
     Files of usual size are parsed and written by the task that reads them, without a shuffle. A file
@@ -106,7 +106,7 @@ def load_days(
     # The fate is a column, not a filter: a filter would be moved below the parse and parse each line again.
     parsed = events.select(*spark.table(table).columns, fate.alias("fate"))
     parsed = gather_days(parsed, "event_date") if gathered and len(days) > 1 else parsed
-    with staged(parsed, table, "fate", "event_date") as source:
+    with staged(parsed, table, "fate", "event_date", cluster=["type"]) as source:
         stored = _stored(spark, source)
         loaded, strays = ({d: n for (f, d), n in stored.items() if f == wanted} for wanted in (KEPT, STRAY))
         if tolerant:
@@ -121,8 +121,8 @@ def load_days(
             loaded = {d: loaded.get(d, 0) for d in days}
         # Noted on both sides of the change: marts built from half of it are due again.
         ledger.note_load(spark, table, days)
-        replace_days(spark, source, table, "event_date", ["type"], days, fate=KEPT)
-        replace_days(spark, source, rejects, "event_date", ["type"], days, fate=STRAY)
+        replace_days(spark, source, table, "event_date", days, fate=KEPT)
+        replace_days(spark, source, rejects, "event_date", days, fate=STRAY)
         ledger.note_load(spark, table, days)
     return LoadResult(sum(loaded.values()), loaded, strays)
 

@@ -7,17 +7,20 @@ batch: its days share one gate scan, one load job and one build per model.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.errors import MissingDayError, ModelTestError, QualityGateError, SyncFailedError
 from eventmill.operators.gate import GateResult, GateRules, run_gate
-from eventmill.operators.latest import latest_per_key
-from eventmill.operators.model_tests import run_model_tests
+from eventmill.operators.delta_tests import day_failures, results_of, summed_failures, updated_duplicates, updated_orphans, value_counts
+from eventmill.operators.latest import newest_per_key, updated_latest
+from eventmill.operators.model_tests import DECLARED, run_model_tests
 from eventmill.plans import models
 from eventmill.plans.load import DayRows, LoadResult, load_days
 from eventmill.schema import RETENTION_DAYS
@@ -27,14 +30,19 @@ from eventmill.sinks.tables import (
     DEFAULT_RAW_TABLE,
     OFFENDERS_SUFFIX,
     REJECTS_SUFFIX,
+    Buckets,
+    buckets_of,
     drop_days,
     ensure_database,
     expire_days,
+    forget,
     gather_days,
     materialization,
     materialize,
     namespace,
     partition_days,
+    physical,
+    previous,
     put_days,
     relation,
     replace_table,
@@ -47,6 +55,11 @@ DIMENSIONS = {
     "dim_repo": ("int_repo_sightings", "repo_id", "repo_name"),
     "dim_actor": ("int_actor_sightings", "actor_id", "actor_login"),
 }
+TEST_STATES = ("int_event_ids", "test_days", "test_duplicates", "test_orphans")
+# A bucket of a state that is joined by key holds about so many rows of all kept days.
+LEAST_BUCKETS, ROWS_A_BUCKET = 4, 1 << 23
+# In the ledger of builds: the day has left the state.
+EXPIRED = "expired"
 
 
 def build_models(spark: SparkSession, raw: DataFrame, target: str = "dev", prefix: str = "") -> dict[str, DataFrame]:
@@ -74,6 +87,73 @@ def build_models(spark: SparkSession, raw: DataFrame, target: str = "dev", prefi
     return built
 
 
+class Refresh:
+    """What is due in the stored states of one target, and their replacement at the cost of the changed days.
+
+    Each state is settled by itself: the asked days, days it lacks and days loaded again since it was built (by the
+    ledger's load ids) are due, days the raw table no longer has leave it.
+    """
+
+    def __init__(self, spark: SparkSession, raw_table: str, days: Iterable[date], target: str, prefix: str):
+        self.spark, self.raw, self.asked, self.target, self.prefix = spark, spark.table(raw_table), set(days), target, prefix
+        self.raw_days = set(partition_days(spark, raw_table))
+        self.loads = ledger.loads(spark, raw_table)
+        self.builds = _builds(target, prefix)
+        self.settled: dict[str, dict[date, str]] = {}
+        for layer in ("intermediate", "marts"):
+            ensure_database(spark, namespace(target, layer, prefix))
+
+    def name(self, model: str) -> str:
+        return relation(self.target, model, self.prefix)
+
+    def of_days(self, due: Iterable[date]) -> DataFrame:
+        """Flattened events of some raw days."""
+        return models.int_events_flattened(self.staged_of(due))
+
+    def staged_of(self, due: Iterable[date]) -> DataFrame:
+        return models.stg_events(self.raw.where(F.col("event_date").isin(sorted(due))))
+
+    def days(self, model: str, partition: str, cluster: list[str], build, bucketed: str | None = None) -> DataFrame:
+        """Settle a state that is stored by day; ``build`` gives the rows of some days."""
+        table = self.name(model)
+        held = set(partition_days(self.spark, table))
+        built_from = ledger.newest(self.spark, self.builds, model)
+        stale = {d for d, load in self.loads.items() if built_from.get(d) != load}
+        due = (self.asked | (self.raw_days - held) | stale) & self.raw_days
+        if held - self.raw_days:
+            drop_days(self.spark, table, sorted(held - self.raw_days))
+        if due:
+            rows = build(sorted(due))
+            buckets = Buckets(bucketed, self._buckets(due)) if bucketed else None
+            # Rows of a single day cannot scatter over days: no task writes more than one file. Buckets deal the rows themselves.
+            put_days(gather_days(rows, partition) if len(due) > 1 and not buckets else rows, table, partition, cluster, due, buckets)
+        self.settled[model] = {d: self.loads[d] for d in due if d in self.loads}
+        return self.spark.table(table)
+
+    def _buckets(self, due: set[date]) -> int:
+        """As many as the rows of all kept days will need, if they are like these; only a new table asks."""
+        rows = self.raw.where(F.col("event_date").isin(sorted(due))).count() / len(due) * RETENTION_DAYS
+        return max(LEAST_BUCKETS, 1 << max(0, math.ceil(rows / ROWS_A_BUCKET) - 1).bit_length())
+
+    def whole(self, model: str, build, buckets: Buckets | None = None, shown: Sequence[str] | None = None, dealt: bool = False) -> DataFrame:
+        """Settle a state over all days; ``build`` gets its stored rows (None where they are missing) and the due days, of which it may have none."""
+        table, known = self.name(model), None
+        if self.spark.catalog.tableExists(table):
+            known = self.spark.table(physical(self.spark, table))
+        built_from = ledger.newest(self.spark, self.builds, model)
+        loads = {d: self.loads.get(d, "") for d in self.raw_days}
+        due = {d for d in self.raw_days if built_from.get(d) != loads[d]} | (self.asked & self.raw_days)
+        left = {d for d, load in built_from.items() if load != EXPIRED} - self.raw_days
+        rows = build(known, sorted(due)) if due or left or known is None else None
+        if rows is not None:
+            replace_table(rows, table, buckets=buckets, shown=shown, dealt=dealt and known is not None)
+        self.settled[model] = {d: loads[d] for d in due} | dict.fromkeys(left, EXPIRED)
+        return self.spark.table(table)
+
+    def done(self) -> None:
+        ledger.note(self.spark, self.builds, self.settled)
+
+
 def refresh_models(
     spark: SparkSession,
     raw_table: str = DEFAULT_RAW_TABLE,
@@ -83,44 +163,18 @@ def refresh_models(
 ) -> dict[str, DataFrame]:
     """Bring the mart tables up to date with the raw table at the cost of the changed days only.
 
-    Each table is settled by itself: ``days``, days it lacks and days loaded again since it was built (by the
-    ledger's load ids) are built, days the raw table no longer has are dropped. A first run therefore builds
-    everything, and a run after a failed one picks up what is missing or stale. The result equals a full build,
-    since a fact depends on one raw row, a rollup row on one day, and a dimension on each day's sightings.
+    A first run builds everything, and a run after a failed one picks up what is missing or stale. The result equals a full
+    build, since a fact depends on one raw row, a rollup row on one day, and a dimension on each day's sightings: its keys take
+    newer values from the changed days, and only keys whose value came from a changed day are looked up in the others.
     """
-    raw = spark.table(raw_table)
-    raw_days = set(partition_days(spark, raw_table))
-    loads = ledger.loads(spark, raw_table)
-    builds = _builds(target, prefix)
-    settled: dict[str, dict[date, str]] = {}
-    for layer in ("intermediate", "marts"):
-        ensure_database(spark, namespace(target, layer, prefix))
-    stg = materialize("stg_events", models.stg_events(raw), target, "view", prefix=prefix)
+    run = Refresh(spark, raw_table, days, target, prefix)
+    stg = materialize("stg_events", models.stg_events(run.raw), target, "view", prefix=prefix)
     flattened = materialize("int_events_flattened", models.int_events_flattened(stg), target, "view", prefix=prefix)
 
-    def settle(name: str, partition: str, cluster: list[str], build) -> DataFrame:
-        table = relation(target, name, prefix)
-        held = set(partition_days(spark, table))
-        built_from = ledger.newest(spark, builds, name)
-        stale = {d for d, load in loads.items() if built_from.get(d) != load}
-        due = (set(days) | (raw_days - held) | stale) & raw_days
-        if held - raw_days:
-            drop_days(spark, table, sorted(held - raw_days))
-        if due:
-            rows = build(sorted(due))
-            # Rows of a single day cannot scatter over days: no task writes more than one file.
-            put_days(gather_days(rows, partition) if len(due) > 1 else rows, table, partition, cluster, due)
-        settled[name] = {d: loads[d] for d in due if d in loads}
-        return spark.table(table)
-
-    def flattened_of(due: list[date]) -> DataFrame:
-        part = raw.where(F.col("event_date").isin(due))
-        return models.int_events_flattened(models.stg_events(part))
-
     def fact_of(due: list[date]) -> DataFrame:
-        return models.fct_events(flattened_of(due)).withColumn("event_date", F.to_date("created_at"))
+        return models.fct_events(run.of_days(due)).withColumn("event_date", F.to_date("created_at"))
 
-    fact = settle("fct_events", "event_date", ["event_type"], fact_of)
+    fact = run.days("fct_events", "event_date", ["event_type"], fact_of)
 
     def rollup_of(due: list[date]) -> DataFrame:
         return models.agg_daily_repo_activity(fact.where(F.col("event_date").isin(due)))
@@ -129,21 +183,82 @@ def refresh_models(
         "stg_events": stg,
         "int_events_flattened": flattened,
         "fct_events": fact.select(*models.FACT_COLUMNS),
-        "agg_daily_repo_activity": settle("agg_daily_repo_activity", "activity_date", ["repo_id"], rollup_of),
+        "agg_daily_repo_activity": run.days("agg_daily_repo_activity", "activity_date", ["repo_id"], rollup_of),
     }
     for dimension, (state, key, value) in DIMENSIONS.items():
 
         def sightings_of(due: list[date], key=key, value=value) -> DataFrame:
-            return models.daily_sightings(flattened_of(due), key, value)
+            return models.daily_sightings(run.of_days(due), key, value)
+
+        seen = run.days(state, "event_date", [key], sightings_of, bucketed=key)
+
+        def dimension_of(known: DataFrame | None, due: list[date], seen=seen, key=key, value=value) -> DataFrame:
+            if known is None or "created_at" not in known.columns:  # as after a full build
+                return newest_per_key(seen, key, value, "created_at")
+            return updated_latest(known, seen, key, value, "created_at", due, run.raw_days)
 
-        seen = settle(state, "event_date", [key], sightings_of)
-        table = relation(target, dimension, prefix)
-        replace_table(latest_per_key(seen, key, value, "created_at"), table)
-        built[dimension] = spark.table(table)
-    ledger.note(spark, builds, settled)
+        built[dimension] = run.whole(dimension, dimension_of, buckets_of(spark, run.name(state)), (key, value), dealt=True)
+    run.done()
     return built
 
 
+def refresh_tests(
+    spark: SparkSession,
+    built: dict[str, DataFrame],
+    raw_table: str = DEFAULT_RAW_TABLE,
+    days: Iterable[date] = (),
+    target: str = "prod",
+    prefix: str = "",
+) -> DataFrame:
+    """The declared tests of models that ``refresh_models`` has just brought up to date: the rows of ``run_model_tests`` over all of
+    history, from states that are kept by the day."""
+    run = Refresh(spark, raw_table, days, target, prefix)
+    fact = spark.table(run.name("fct_events"))
+    by_day = [s for s in DECLARED if s.model not in DIMENSIONS]
+
+    def ids_of(due: list[date]) -> DataFrame:
+        return value_counts(fact.where(F.col("event_date").isin(due)), "event_id")
+
+    def failures_of(due: list[date]) -> DataFrame:
+        frames = {
+            "stg_events": run.staged_of(due).withColumn("event_date", F.to_date("created_at")),
+            "fct_events": fact.where(F.col("event_date").isin(due)),
+            "agg_daily_repo_activity": built["agg_daily_repo_activity"].where(F.col("activity_date").isin(due)).withColumnRenamed("activity_date", "event_date"),
+        }
+        renamed = {"activity_date": "event_date"}
+        parts = []
+        for model, frame in frames.items():
+            specs = [s for s in by_day if s.model == model and (s.not_null or s.accepted)]
+            own = frame.withColumns({c: F.col(renamed[c]) for s in specs for c in [s.column] if c in renamed})
+            if specs:
+                parts.append(day_failures(own, "event_date", specs))
+        return reduce(DataFrame.unionAll, parts)
+
+    index = run.days("int_event_ids", "event_date", ["event_id"], ids_of, bucketed="event_id")
+    duplicates = run.whole("test_duplicates", lambda known, due: updated_duplicates(index, "event_id", run.raw_days if known is None else due, known))
+    kept = run.days("test_days", "event_date", ["model"], failures_of)
+
+    def orphans_of(known: DataFrame | None, due: list[date]) -> DataFrame:
+        parts = []
+        for column, dimension in ((s.column, s.parent[0]) for s in by_day if s.parent):
+            state, key, _ = DIMENSIONS[dimension]
+            seen, named = spark.table(run.name(state)), run.name(dimension)
+            own = None if known is None else known.where(F.col("column") == column).select(F.col("key").alias(column))
+            found = updated_orphans(seen, column, run.raw_days if known is None else due, built[dimension], key, previous(spark, named), own)
+            parts.append(found.select(F.lit(column).alias("column"), F.col(column).cast("bigint").alias("key"), "n"))
+        return reduce(DataFrame.unionAll, parts)
+
+    orphans = run.whole("test_orphans", orphans_of)
+    run.done()
+    unique = [(s.model, s.column) for s in by_day if s.unique]
+    number = duplicates.agg(F.count(F.lit(1)).alias("failures"))
+    found = [number.select(F.lit(m).alias("model"), F.lit(c).alias("column"), F.lit("unique").alias("test"), "failures") for m, c in unique]
+    absent = orphans.groupBy("column").agg(F.sum("n").alias("failures"))
+    found.append(absent.select(F.lit("fct_events").alias("model"), "column", F.lit("relationships").alias("test"), "failures"))
+    found.append(run_model_tests(built, [s for s in DECLARED if s.model in DIMENSIONS]).drop("passed"))
+    return results_of(spark, DECLARED, [summed_failures(kept), *found])
+
+
 def _builds(target: str, prefix: str) -> str:
     """The ledger of what each mart day was built from."""
     return f"{namespace(target, 'marts', prefix)}.mart_builds"
@@ -153,8 +268,8 @@ def rebuild_models(
     spark: SparkSession, raw_table: str = DEFAULT_RAW_TABLE, target: str = "prod", prefix: str = ""
 ) -> dict[str, DataFrame]:
     """Full refresh: every model from the whole raw table."""
-    for state, _, _ in DIMENSIONS.values():
-        spark.sql(f"DROP TABLE IF EXISTS {relation(target, state, prefix)}")
+    for state in (*(state for state, _, _ in DIMENSIONS.values()), *TEST_STATES):
+        forget(spark, relation(target, state, prefix))
     loads = ledger.loads(spark, raw_table)
     built = build_models(spark, spark.table(raw_table), target, prefix)
     if materialization(target, "fct_events") == "table":
@@ -238,7 +353,7 @@ def run_days(
         for day in passed:
             state[day] |= {"loaded": load.loaded.get(day, 0), "rejected": load.rejected.get(day, 0)}
 
-        # The tests look at all of history, so shuffles are sized for it, not for this run's days.
+        # Views and full builds look at all of history, so shuffles are sized for it, not for this run's days.
         history = size.total * max(1, len(held) // len(days))
         with sized_shuffles(spark, history):
             if target != "prod":
@@ -247,7 +362,8 @@ def run_days(
                 built = rebuild_models(spark, raw_table, target, prefix)
             else:
                 built = refresh_models(spark, raw_table, passed, target, prefix)
-            results = run_model_tests(built).collect()
+            by_day = target == "prod" and refresh != "full"
+            results = (refresh_tests(spark, built, raw_table, passed, target, prefix) if by_day else run_model_tests(built)).collect()
         tests = local_frame(spark, results, "model string, column string, test string, failures bigint, passed boolean")
         failed = [r for r in results if not r.passed]
         if failed:

@@ -1,17 +1,21 @@
-"""Day-partitioned tables: create, overwrite whole days, expire, and materialize models."""
+"""Day-partitioned tables: create, replace whole days, expire, and materialize models.
+
+Rows are written once, where they stay. What changes afterwards is a pointer in the catalog: a day is the location of its partition, a rebuilt
+model the version that its name stands for.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import dataclass
 from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.schema import RAW_SCHEMA, RETENTION_DAYS
-from eventmill.session import pin
 
 DEFAULT_RAW_TABLE = "raw_events.events"
 REJECTS_SUFFIX = "_rejects"
@@ -34,17 +38,69 @@ def ensure_raw_table(spark: SparkSession, table: str = DEFAULT_RAW_TABLE) -> Non
         )
 
 
+# ---- versions: what a name stands for is one pointer --------------------------------------------------
+
+
+def physical(spark: SparkSession, table: str) -> str:
+    """The stored table behind a name: the one a versioned model points to, or the table itself."""
+    return _pointer(spark, table).get("stored", table)
+
+
+def _pointer(spark: SparkSession, table: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(table) or spark.catalog.getTable(table).tableType != "VIEW":
+        return {}
+    return {row.key: row.value for row in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+
+
+def point(spark: SparkSession, table: str, version: str, columns: Sequence[str] | None = None) -> None:
+    """Let a name stand for ``version`` from now on.
+
+    A reader sees the old rows up to the swap and the new ones after it. The version before stays for readers that
+    have begun; the one before that is dropped.
+    """
+    before = _pointer(spark, table)
+    if spark.catalog.tableExists(table) and not before:
+        spark.sql(f"DROP TABLE {table}")
+    kept = {"stored": version} | ({"previous": before["stored"]} if before else {})
+    properties = ", ".join(f"'{key}' = '{value}'" for key, value in kept.items())
+    spark.sql(f"CREATE OR REPLACE VIEW {table} TBLPROPERTIES ({properties}) AS SELECT {', '.join(columns or ['*'])} FROM {version}")
+    if "previous" in before:
+        spark.sql(f"DROP TABLE IF EXISTS {before['previous']}")
+
+
+def previous(spark: SparkSession, table: str) -> DataFrame | None:
+    """The version that a name stood for before."""
+    name = _pointer(spark, table).get("previous")
+    return spark.table(name) if name else None
+
+
+def forget(spark: SparkSession, table: str) -> None:
+    """Drop a model with all its versions."""
+    pointer = _pointer(spark, table)
+    if not pointer:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        return
+    spark.sql(f"DROP VIEW {table}")
+    for version in (pointer["stored"], pointer.get("previous")):
+        if version:
+            spark.sql(f"DROP TABLE IF EXISTS {version}")
+
+
+# ---- days -------------------------------------------------------------------------------------------
+
+
 def partition_days(spark: SparkSession, table: str) -> list[date]:
     """Days a table holds, from the catalog."""
     if not spark.catalog.tableExists(table):
         return []
     return sorted(
-        date.fromisoformat(row.partition.split("=", 1)[1])
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect()
+        date.fromisoformat(row.partition.rsplit("=", 1)[1])
+        for row in spark.sql(f"SHOW PARTITIONS {physical(spark, table)}").collect()
     )
 
 
 def drop_days(spark: SparkSession, table: str, days: Iterable[date]) -> None:
+    table = physical(spark, table)
     key = next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
     specs = ", ".join(f"PARTITION ({key} = DATE'{d.isoformat()}')" for d in days)
     if specs:
@@ -59,69 +115,126 @@ def expire_days(spark: SparkSession, table: str, as_of: date, keep_days: int = R
     return expired
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """Rows of a table dealt to so many files per day by one column, sorted by it: joins and groupings on it need no shuffle."""
+
+    column: str
+    number: int
+
+
+def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {physical(spark, table)}").collect()}
+    if "Num Buckets" not in described:
+        return None
+    return Buckets(described["Bucket Columns"].strip("[]`"), int(described["Num Buckets"]))
+
+
+def _laid_out(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str], buckets: Buckets | None, dealt: bool = False):
+    """A writer of rows ordered by day inside each task, so that a task writing several days keeps one file open at a time, and by the
+    cluster columns inside a day, so that row groups can be skipped. ``dealt`` rows come from a join of equal buckets and are not shuffled."""
+    if buckets:
+        df, cluster = df if dealt else df.repartition(buckets.number, buckets.column), [buckets.column]
+    order = [*partitions, *cluster]
+    writer = (df.sortWithinPartitions(*order) if order else df).write.format("parquet")
+    if partitions:
+        writer = writer.partitionBy(*partitions)
+    return writer.bucketBy(buckets.number, buckets.column).sortBy(buckets.column) if buckets else writer
+
+
+def _location(spark: SparkSession, table: str, partition: str = "") -> str:
+    """Where a table, or one of its partitions, lies. A partition's description ends with that of its table."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table} {partition}").collect()
+    return next(row.data_type for row in described if row.col_name == "Location")
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
-def staged(df: DataFrame, table: str, *partitions: str) -> Iterator[str]:
-    """``df`` as a table of its own beside ``table``, gone afterwards; ``table`` itself is not touched.
+def staged(
+    df: DataFrame, table: str, *partitions: str, cluster: Sequence[str] = (), buckets: Buckets | None = None
+) -> Iterator[str]:
+    """``df`` as a table of its own in a folder of ``table``, in its final layout; ``table`` itself is not touched.
 
-    What is checked here is what is copied on: a failure before the copy leaves the old rows in place.
+    What is checked here is what becomes of the days: ``replace_days`` lets them point into this folder, so nothing is written
+    twice. The name is gone afterwards, and the folder too if the block fails before any day points into it.
     """
     spark = df.sparkSession
-    name = f"{table}_staged_{uuid.uuid4().hex[:12]}"
+    stored = physical(spark, table)
+    load = uuid.uuid4().hex[:12]
+    name, folder = f"{stored}_staged_{load}", f"{_location(spark, stored)}/load-{load}"
     try:
-        df.write.format("parquet").partitionBy(*partitions).saveAsTable(name)
+        _laid_out(df, partitions, cluster, buckets).option("path", folder).saveAsTable(name)
         yield name
+    except BaseException:
+        if not any(load in _location(spark, stored, _spec(spark, stored, d)) for d in partition_days(spark, stored)):
+            _remove(spark, folder)
+        raise
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
 
 
-def replace_days(
-    spark: SparkSession, source: str, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], **fixed
-) -> None:
-    """Make exactly ``days`` of ``table`` equal a stored table's rows; ``fixed`` are equalities the rows must meet.
+def _spec(spark: SparkSession, table: str, day: date) -> str:
+    key = next(c.name for c in spark.catalog.listColumns(table) if c.isPartition)
+    return f"PARTITION ({key} = DATE'{day.isoformat()}')"
 
-    All days are one job, and each keeps its old rows until the job commits. (A static partition overwrite deletes
-    a day before it writes it.) The overwrite mode is a session setting, so it is set in a session that does nothing
-    else: no load running beside this one can see it or set it back.
 
-    Rows are ordered by day inside each task, so a task writing several days keeps one file open at a time, and by
-    the cluster columns inside a day, so row groups can be skipped.
+def replace_days(spark: SparkSession, source: str, table: str, partition: str, days: Iterable[date], **fixed) -> None:
+    """Make exactly ``days`` of ``table`` equal a staged table's rows; ``fixed`` names the staged partitions they are in.
+
+    A day changes by one pointer: its partition's location. Readers meet its old rows before and its new ones after, and no row
+    is written again. Days that the source has no row of leave the table. A day's old files go once all days point to their new ones.
     """
     days = sorted(set(days))
-    if not days:
-        return
-    writing = pin(spark.newSession())
-    writing.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    rows = writing.table(source).where(F.col(partition).isin(days))
-    for column, value in fixed.items():
-        rows = rows.where(F.col(column) == value)
-    held = {row[0] for row in rows.select(partition).distinct().collect()}
-    if held:
-        ordered = rows.select(*writing.table(table).columns).sortWithinPartitions(partition, *cluster)
-        ordered.write.mode("overwrite").insertInto(table)
-    # A day without rows would survive a dynamic overwrite.
-    drop_days(spark, table, [d for d in days if d not in held])
+    table = physical(spark, table)
+    held, old = set(partition_days(spark, table)), []
+    prefix = "".join(f"{column}={value}/" for column, value in fixed.items())
+    staged_parts = {row.partition for row in spark.sql(f"SHOW PARTITIONS {source}").collect()}
+    root, found = _location(spark, source), [d for d in days if f"{prefix}{partition}={d}" in staged_parts]
+    for day in found:
+        spec, place = f"PARTITION ({partition} = DATE'{day.isoformat()}')", f"LOCATION '{root}/{prefix}{partition}={day}'"
+        if day in held:
+            old.append(_location(spark, table, spec))
+            spark.sql(f"ALTER TABLE {table} {spec} SET {place}")
+        else:
+            spark.sql(f"ALTER TABLE {table} ADD {spec} {place}")
+    drop_days(spark, table, [d for d in days if d in held and d not in found])
     spark.catalog.refreshTable(table)
+    for folder in old:
+        _remove(spark, folder)
 
 
-def put_days(df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date]) -> None:
-    """Make ``days`` of a model table equal ``df``, creating the table on first use."""
+def put_days(
+    df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], buckets: Buckets | None = None
+) -> None:
+    """Make ``days`` of a model table equal ``df``, creating the table on first use (with ``buckets``, which it then keeps)."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        replace_table(df, table, partition, cluster)
+        replace_table(df, table, partition, cluster, buckets)
         return
-    with staged(df, table, partition) as source:
-        replace_days(spark, source, table, partition, cluster, days)
+    with staged(df, table, partition, cluster=cluster, buckets=buckets_of(spark, table)) as source:
+        replace_days(spark, source, table, partition, days)
 
 
 def replace_table(
-    df: DataFrame, table: str, partition: str | None = None, cluster: Sequence[str] = ()
-) -> None:
-    """Rebuild a whole table."""
-    order = [c for c in (partition, *cluster) if c]
-    writer = (df.sortWithinPartitions(*order) if order else df).write.mode("overwrite").format("parquet")
-    if partition:
-        writer = writer.partitionBy(partition)
-    writer.saveAsTable(table)
+    df: DataFrame, table: str, partition: str | None = None, cluster: Sequence[str] = (), buckets: Buckets | None = None,
+    shown: Sequence[str] | None = None, dealt: bool = False,
+) -> None:
+    """Rebuild a whole table as a new version, then point its name to it; a build that fails changes nothing.
+
+    ``shown`` are the columns that the name has; the stored version may have more.
+    """
+    spark = df.sparkSession
+    version = f"{table}__v{uuid.uuid4().hex[:12]}"
+    try:
+        _laid_out(df, [partition] if partition else [], cluster, buckets, dealt).saveAsTable(version)
+    except BaseException:
+        spark.sql(f"DROP TABLE IF EXISTS {version}")
+        raise
+    point(spark, table, version, shown)
 
 
 def gather_days(df: DataFrame, partition: str) -> DataFrame:
@@ -140,6 +253,10 @@ LAYERS = {
     "int_events_flattened": "intermediate",
     "int_repo_sightings": "intermediate",
     "int_actor_sightings": "intermediate",
+    "int_event_ids": "intermediate",
+    "test_days": "intermediate",
+    "test_duplicates": "intermediate",
+    "test_orphans": "intermediate",
     "dim_repo": "marts",
     "dim_actor": "marts",
     "fct_events": "marts",
