@@ -413,6 +413,29 @@ def check_sql() -> dict[str, str]:
         "day_wise_dims": f"""with {STORED_MARTS}
             select 'repo' as dim, repo_id as id, repo_name as label from dim_repo_t
             union all select 'actor', actor_id, actor_login from dim_actor_t""",
+        "dims_after_expiry": f"""with {STORED},
+            last_day as (select max(cast(land_hour as date)) as newest from feed),
+            left_over as (
+              select stored.* from stored, last_day
+              where cast(land_hour as date) >= newest - 20 and (event_type <> 'IssuesEvent' or cast(land_hour as date) < newest)
+            ),
+            dim_repo_t as ({latest('left_over', 'repo_id', 'repo_name')}),
+            dim_actor_t as ({latest('left_over', 'actor_id', 'actor_login')})
+            {model_rows('left_over', ALL_MODELS[4:])}""",
+        "tests_by_day": f"""with {FAULTY},
+            kept as (
+              select * from faulty where cast(created_at as date) = land_date
+              and land_date >= (select max(land_date) from faulty_all) - 20
+            ),
+            repos as ({latest('kept', 'repo_id', 'repo_name')}),
+            actors as ({latest('kept', 'actor_id', 'actor_login')}),
+            rollup_t as ({rollup('kept')})
+            {declared('kept', 'repos', 'actors', 'kept', 'rollup_t')}""",
+        "duplicates_by_day": f"with {FAULTY} select event_id, count(*) as n from faulty group by 1 having count(*) > 1",
+        "orphans_by_day": """
+            select l_orderkey, count(*) as n from lineitem
+            where l_orderkey is not null and l_orderkey not in (select o_orderkey from orders where o_totalprice > 150000)
+            group by 1""",
         "mart_tables": f"with {STORED_MARTS} {model_rows('stored', ALL_MODELS)}",
         "dev_views": f"with {MARTS} {model_rows('feed', ALL_MODELS)}",
         "stg_events": f"with {FEED} select * exclude (land_hour) from feed",

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventmill.functions.hours import explode_hours, hour_grid, hour_key, hour_path, trailing_window
-from eventmill.operators import gate, model_tests
+from eventmill.operators import delta_tests, gate, model_tests
 from eventmill.plans import models, pipeline, serving
 from eventmill.plans.load import load_days
 from eventmill.session import local_frame, pin, shared_dir
@@ -337,6 +337,54 @@ def q_day_wise_dims(spark, sf):
     return repos.unionAll(actors)
 
 
+def q_dims_after_expiry(spark, sf):
+    """Both dimensions after a day was replaced by fewer rows and the oldest days expired."""
+    prefix, _, days, table, _ = _loaded(spark, sf)
+    pipeline.refresh_models(spark, table, prefix=prefix)
+    load_days(spark, feed.landing(spark, sf, "retracted"), days[-1:], table, strict=False)
+    tables.expire_days(spark, table, days[-1], KEPT_DAYS)
+    return _model_rows(pipeline.refresh_models(spark, table, days[-1:], prefix=prefix), MODEL_ROWS[4:])
+
+
+def q_tests_by_day(spark, sf):
+    """The declared tests on the faulty feed, kept up by the day: most days, then the last ones and one of them again, then without the oldest."""
+    prefix = _fresh_prefix(spark)
+    raw_dir, days = _landed(spark, sf, "faulty")
+    table = f"{prefix}raw.events"
+    for batch in (days[:-3], days[-4:]):
+        load_days(spark, raw_dir, batch, table, strict=False)
+        built = pipeline.refresh_models(spark, table, batch, prefix=prefix)
+        pipeline.refresh_tests(spark, built, table, batch, prefix=prefix)
+    tables.expire_days(spark, table, days[-1], KEPT_DAYS)
+    built = pipeline.refresh_models(spark, table, prefix=prefix)
+    return pipeline.refresh_tests(spark, built, table, prefix=prefix)
+
+
+def _halves(index: DataFrame) -> tuple[list[dt.date], list[dt.date]]:
+    days = sorted(row.event_date for row in index.select("event_date").distinct().collect())
+    return days[: len(days) // 2], days[len(days) // 2 :]
+
+
+def q_duplicates_by_day(spark, sf):
+    """Ids that occur more than once in the faulty feed, from half of its days and then from the other half."""
+    stg = models.stg_events(feed.faulty_events(spark, sf)).withColumn("event_date", F.to_date("created_at"))
+    index = delta_tests.value_counts(stg, "event_id")
+    first, second = _halves(index)
+    known = delta_tests.updated_duplicates(index.where(F.col("event_date").isin(first)), "event_id", first)
+    return delta_tests.updated_duplicates(index, "event_id", second, known)
+
+
+def q_orphans_by_day(spark, sf):
+    """Order keys of line items that the dear orders lack, after half of the days came in and some orders left."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet").withColumn("event_date", F.to_date(F.date_trunc("month", "l_shipdate")))
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    before, now = (orders.where(F.col("o_totalprice") > price) for price in (100000, 150000))
+    index = delta_tests.value_counts(lines, "l_orderkey")
+    first, second = _halves(index)
+    known = delta_tests.updated_orphans(index.where(F.col("event_date").isin(first)), "l_orderkey", first, before, "o_orderkey")
+    return delta_tests.updated_orphans(index, "l_orderkey", second, now, "o_orderkey", before, known)
+
+
 def q_mart_tables(spark, sf):
     """Two full builds for prod: marts are tables, the fact by day and clustered by type."""
     prefix, _, _, table, _ = _loaded(spark, sf)
@@ -458,6 +506,10 @@ QUERIES = {
     "daily_run": q_daily_run,
     "day_wise_rollup": q_day_wise_rollup,
     "day_wise_dims": q_day_wise_dims,
+    "dims_after_expiry": q_dims_after_expiry,
+    "tests_by_day": q_tests_by_day,
+    "duplicates_by_day": q_duplicates_by_day,
+    "orphans_by_day": q_orphans_by_day,
     "mart_tables": q_mart_tables,
     "dev_views": q_dev_views,
     "stg_events": q_stg_events,
