@@ -74,23 +74,37 @@ def thresholds(sizes: DataFrame, sources: DataFrame, small: bool) -> DataFrame:
     return bounds.select("source", "below")
 
 
-def mix(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size, source_size, target, copies (0, 1 or 2) and taken (copies x size) of every row."""
-    sizes = T.written(
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), T.word_count(F.col("text")).alias("size"), doc_hash(F.col("doc_id")).alias("hash")), "sizes"
-    )
+def own_columns() -> dict[str, Column]:
+    """A row's id, source and hash."""
+    return {"doc_id": F.col("doc_id").cast("long"), "source": F.col("source").cast("string"), "hash": doc_hash(F.col("doc_id"))}
+
+
+def sized(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size and hash of every row, stored."""
+    own = own_columns()
+    return T.written(docs.select(own["doc_id"].alias("doc_id"), own["source"].alias("source"), T.word_count(F.col("text")).alias("size"), own["hash"].alias("hash")), "sizes")
+
+
+def allotted(sizes: DataFrame, rows: DataFrame) -> DataFrame:
+    """Rows (with their source and hash) beside source_size, target and copies, how often the mix of all sizes takes them; no row is shuffled while sources are few."""
     sources = T.written(targets(sizes), "sources")
     small = sources.count() <= BROADCAST_SOURCES
     below = T.written(thresholds(sizes, sources, small), "thresholds")
     plan = sources.join(below.withColumnRenamed("source", "_source"), F.col("source").eqNullSafe(F.col("_source")), "left").drop("_source")
-    copies = (F.col("whole") + F.coalesce((F.col("hash") < F.col("below")).cast("long"), F.lit(0))).alias("copies")
-    taken = by_source(sizes, plan, small).select("doc_id", "source", "size", "source_size", "target", copies)
+    copies = F.col("whole") + F.coalesce((F.col("hash") < F.col("below")).cast("long"), F.lit(0))
+    return by_source(rows, plan, small).withColumn("copies", copies)
+
+
+def mix(docs: DataFrame) -> DataFrame:
+    """doc_id, source, size, source_size, target, copies (0, 1 or 2) and taken (copies x size) of every row."""
+    sizes = sized(docs)
+    taken = allotted(sizes, sizes).select("doc_id", "source", "size", "source_size", "target", "copies")
     return taken.withColumn("taken", F.col("copies") * F.col("size"))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The documents of the mix with their own columns, each as often as it is taken."""
-    plan = mix(docs).where("copies > 0").groupBy("doc_id", "source").agg(F.max("copies").alias("copies"))
-    rows = T.carried(docs, F.col("doc_id").cast("long").alias("own_id"), F.col("source").cast("string").alias("own_source"))
-    taken = rows.join(plan, F.col("own_id").eqNullSafe(F.col("doc_id")) & F.col("own_source").eqNullSafe(F.col("source")))
+    """The documents of the mix with their own columns, each as often as it is taken. A row's id and source settle that, so no row is joined back."""
+    own = own_columns()
+    rows = T.carried(docs, own["source"].alias("source"), own["hash"].alias("hash"))
+    taken = allotted(sized(docs), rows).where("copies > 0")
     return T.uncarried(taken.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))), docs)
