@@ -33,7 +33,7 @@ CAPACITY, END_ID = 1024, 2
 #: White space beyond ASCII; texts that hold any are tokenized as a whole.
 WIDE_SPACE = re.compile("[\x85\xa0  -     　]")
 PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
-FRAME_BYTES = 16 << 20
+FRAME_BYTES = 6 << 20
 
 
 class Run(NamedTuple):
