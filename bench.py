@@ -19,6 +19,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import functions as F  # noqa: E402
 
 from eventmill.operators.gate import run_gate  # noqa: E402
+from eventmill.operators.model_tests import run_model_tests  # noqa: E402
 from eventmill.plans import pipeline, serving  # noqa: E402
 from eventmill.plans.load import DayRows, load_days  # noqa: E402
 from eventmill.session import build_session  # noqa: E402
@@ -121,10 +122,12 @@ def main() -> None:
     counted = {DAY: DayRows(events, gate.counts[DAY].in_day)}
     timed("day_load", lambda: load_days(spark, raw_dir, [DAY], counted=counted))
     built = timed("day_marts", lambda: pipeline.refresh_models(spark, days=[DAY]))
-    tests = timed("day_tests", lambda: pipeline.refresh_tests(spark, built, days=[DAY]).collect())
+    tests = timed("day_tests", lambda: run_model_tests(built).collect())
+    by_day = timed("day_tests_by_day", lambda: pipeline.refresh_tests(spark, built, days=[DAY]).collect())
     timed("day_top_repos", lambda: run(serving.top_repos(built["agg_daily_repo_activity"], built["dim_repo"])))
     timed("day_hours", lambda: run(serving.most_active_hours(built["fct_events"])))
     assert all(t.passed for t in tests if t.test != "unique"), tests
+    assert sorted(map(tuple, tests)) == sorted(map(tuple, by_day)), by_day
     print(
         json.dumps(
             {

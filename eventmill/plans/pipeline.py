@@ -99,6 +99,7 @@ class Refresh:
         self.raw_days = set(partition_days(spark, raw_table))
         self.loads = ledger.loads(spark, raw_table)
         self.builds = _builds(target, prefix)
+        self.built_from = ledger.newest(spark, self.builds)
         self.settled: dict[str, dict[date, str]] = {}
         for layer in ("intermediate", "marts"):
             ensure_database(spark, namespace(target, layer, prefix))
@@ -117,16 +118,16 @@ class Refresh:
         """Settle a state that is stored by day; ``build`` gives the rows of some days."""
         table = self.name(model)
         held = set(partition_days(self.spark, table))
-        built_from = ledger.newest(self.spark, self.builds, model)
+        built_from = self.built_from.get(model, {})
         stale = {d for d, load in self.loads.items() if built_from.get(d) != load}
         due = (self.asked | (self.raw_days - held) | stale) & self.raw_days
         if held - self.raw_days:
             drop_days(self.spark, table, sorted(held - self.raw_days))
         if due:
             rows = build(sorted(due))
-            buckets = Buckets(bucketed, self._buckets(due)) if bucketed else None
+            buckets = Buckets(bucketed, self._buckets(due)) if bucketed and not self.spark.catalog.tableExists(table) else None
             # Rows of a single day cannot scatter over days: no task writes more than one file. Buckets deal the rows themselves.
-            put_days(gather_days(rows, partition) if len(due) > 1 and not buckets else rows, table, partition, cluster, due, buckets)
+            put_days(gather_days(rows, partition) if len(due) > 1 and not bucketed else rows, table, partition, cluster, due, buckets)
         self.settled[model] = {d: self.loads[d] for d in due if d in self.loads}
         return self.spark.table(table)
 
@@ -140,7 +141,7 @@ class Refresh:
         table, known = self.name(model), None
         if self.spark.catalog.tableExists(table):
             known = self.spark.table(physical(self.spark, table))
-        built_from = ledger.newest(self.spark, self.builds, model)
+        built_from = self.built_from.get(model, {})
         loads = {d: self.loads.get(d, "") for d in self.raw_days}
         due = {d for d in self.raw_days if built_from.get(d) != loads[d]} | (self.asked & self.raw_days)
         left = {d for d, load in built_from.items() if load != EXPIRED} - self.raw_days

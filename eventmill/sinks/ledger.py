@@ -37,14 +37,16 @@ def note_load(spark: SparkSession, table: str, days: Iterable[date]) -> None:
     note(spark, table + LOADS_SUFFIX, {table: dict.fromkeys(days, new_load_id())})
 
 
-def newest(spark: SparkSession, ledger: str, subject: str) -> dict[date, str]:
-    """The load id that holds for each day: one small row per day."""
+def newest(spark: SparkSession, ledger: str) -> dict[str, dict[date, str]]:
+    """The load id that holds for each subject and day, from one pass: one small row per day."""
     if not spark.catalog.tableExists(ledger):
         return {}
     last = F.max_by("load_id", F.struct("entry", "load_id")).alias("load_id")
-    rows = spark.table(ledger).where(F.col("subject") == subject).groupBy("event_date").agg(last).collect()
-    return {row.event_date: row.load_id for row in rows}
+    found: dict[str, dict[date, str]] = {}
+    for row in spark.table(ledger).groupBy("subject", "event_date").agg(last).collect():
+        found.setdefault(row.subject, {})[row.event_date] = row.load_id
+    return found
 
 
 def loads(spark: SparkSession, table: str) -> dict[date, str]:
-    return newest(spark, table + LOADS_SUFFIX, table)
+    return newest(spark, table + LOADS_SUFFIX).get(table, {})
