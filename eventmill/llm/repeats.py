@@ -1,4 +1,4 @@
-"""Removal of long repeats by grouping fixed windows in content-defined shards.
+"""Removal of long repeats by longest previous factors in content-defined shards.
 
 Every byte of a text that lies in a LENGTH-byte string that also starts in a document with a smaller id is removed; the copy in the
 smallest id stays. Texts are UTF-8 bytes, matches never cross documents, and strings are judged on the input.
@@ -7,10 +7,13 @@ smallest id stays. Texts are UTF-8 bytes, matches never cross documents, and str
    neighbouring windows mostly share one, so a text is a sequence of runs of windows.
 2. Blocks of documents send their distinct minimizers, as 32-bit prints, to shards by hash; a shard answers which ones occur in more than
    one document. Only runs of those can hold a repeat.
-3. Blocks send the bytes of those runs, each distinct one once with its smallest id, to shards by minimizer. A shard sorts the windows
-   whose hash repeats by their LENGTH bytes, ties by document, and the first of equal ones is the earliest document. Only windows of LENGTH bytes
-   decide what is removed, so no suffix array and no longest previous factors are made.
-4. Blocks get one bit per window back, mark the covered bytes and cut them out.
+3. Blocks send the bytes of those runs, each distinct one once with its smallest id, to shards by minimizer. A shard takes its distinct windows as
+   the letters of an alphabet and a run as a string of them, so that a suffix that shares n letters shares LENGTH - 1 + n bytes. It sorts all suffixes
+   to the end of their runs by prefix doubling, ties by document. The previous and the next suffix in that order that have a smaller document hold the
+   longest match with any smaller one: the longer of the two is the longest previous factor, and a window is a later copy where that is LENGTH or more.
+   Factors end with their run; whether they reach LENGTH does not depend on that. Letters are in the order of their hashes, which groups
+   suffixes by common beginnings as any order does.
+4. Blocks get one bit per window back, mark the covered bytes and cut them out. The places of the runs they have sent travel with the shards' answers.
 
 Texts travel once, to their block, and all later steps reuse that shuffle. Blocks and shards grow in number with the input, not in size; a
 passage that a third of all documents share reaches a shard once per block. Prints that clash only cost a needless run; runs of
@@ -23,6 +26,7 @@ repeated rows included, never remove each other's bytes. Empty tables give no ro
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -83,12 +87,19 @@ def slices(shard: np.ndarray) -> Iterator[tuple[int, slice]]:
         yield int(shard[a]), slice(a, b)
 
 
+def ordered(docs: pd.DataFrame) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Texts, keys and whether the key is an id, by key and text: the same whenever a block is gathered."""
+    rows = sorted(zip(docs["key"].tolist(), T.text_column(docs), docs["known"].tolist(), strict=True))
+    keys, texts, known = zip(*rows, strict=True)
+    return list(texts), np.array(keys, np.int64), np.array(known, bool)
+
+
 class Block:
     """A block's runs, and its distinct minimizers in the order of their shards."""
 
     def __init__(self, docs: pd.DataFrame, shards: int, length: int):
-        self.docs = docs = docs.sort_values("key", kind="stable", ignore_index=True)
-        self.texts, self.keys, self.shards, self.length = T.text_column(docs), docs["key"].to_numpy(np.int64), shards, length
+        self.texts, self.keys, _ = ordered(docs)
+        self.shards, self.length = shards, length
         self.text, self.place, self.windows, self.value, self.bytes_hash = runs(self.texts, length)
         self.doc = self.keys[self.text]
         self.shard = (self.value % np.uint64(shards)).astype(np.int64)
@@ -123,28 +134,80 @@ class Block:
         return pd.DataFrame(rows, columns=["shard", "windows", "docs", "data"])
 
 
-def earlier(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
-    """For every window of segments, whether its bytes also start in a segment of a smaller document.
+def letters(data: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
+    """A number for the length bytes at each place; equal bytes have equal numbers."""
+    sums, down = T.prefix_sums(data), T.powers(len(data) + 1)[1]
+    _, first, number = np.unique((sums[at + length] - sums[at]) * down[at], return_index=True, return_inverse=True)
+    view = np.lib.stride_tricks.sliding_window_view(data, min(8, length))
+    # A hash only proposes: where the bytes of a window are not those of its number's first one, all are told apart by their bytes.
+    other = np.flatnonzero(first[number] != np.arange(len(at)))
+    own, head = at[other], at[first[number[other]]]
+    if all((view[own + k] == view[head + k]).all() for k in [*range(0, max(1, length - 8), 8), max(0, length - 8)]):
+        return number
+    return np.unique(np.lib.stride_tricks.sliding_window_view(data, length)[at], axis=0, return_inverse=True)[1].reshape(-1)
+
+
+def suffix_ranks(letter: np.ndarray, left: np.ndarray) -> list[np.ndarray]:
+    """Ranks of the suffixes by their first 1, 2, 4, ... letters up to the longest string; ``left`` counts the letters from each place to its string's end.
 
-    Windows whose hash repeats are sorted by their length bytes, ties by document and place; the first of equal ones is the earliest.
+    A rank is the number of smaller suffixes, plus 1; only suffixes that are still alike are ranked again.
     """
+    count = np.bincount(letter)
+    rank = (np.cumsum(count) - count + 1)[letter].astype(np.uint64)
+    ranks, alike, k = [rank], np.flatnonzero((count > 1)[letter]), 1
+    while len(alike := alike[left[alike] >= k]) and k < left[alike].max():
+        rest = np.where(left[alike] > k, rank[np.minimum(alike + k, len(rank) - 1)], np.uint64(0))
+        order = np.argsort((rank[alike] << np.uint64(32)) | rest)
+        alike, rest = alike[order], rest[order]
+        old = borders(rank[alike])
+        new = old | borders(rest)
+        place, begin = np.arange(len(alike)), np.flatnonzero(new)
+        group, old_group = np.cumsum(new) - 1, np.flatnonzero(old)[np.cumsum(old) - 1]
+        rank = rank.copy()
+        rank[alike] += (begin[group] - old_group).astype(np.uint64)
+        ranks.append(rank)
+        alike, k = alike[np.bincount(group)[group] > 1], 2 * k
+    return ranks
+
+
+def common(ranks: list[np.ndarray], left: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many letters the suffixes at a and b begin with alike."""
+    least, found = np.minimum(left[a], left[b]), np.zeros(len(a), np.int64)
+    for level in range(len(ranks) - 1, -1, -1):
+        more = np.flatnonzero(found < least)
+        more = more[ranks[level][a[more] + found[more]] == ranks[level][b[more] + found[more]]]
+        found[more] += 1 << level
+    return np.minimum(found, least)
+
+
+def to_smaller(doc: np.ndarray, alike: np.ndarray) -> np.ndarray:
+    """Letters shared with the nearest row above that has a smaller document; ``alike`` are those shared with the row above. 0 if there is none.
+
+    All rows step at once: over a row that is not smaller, to where that row's own search stands, until none shares a letter with what is left.
+    """
+    at, low = np.arange(len(doc)) - 1, alike.copy()
+    rows = np.flatnonzero(low > 0)
+    while len(rows := rows[(low[rows] > 0) & (doc[at[rows]] >= doc[rows])]):
+        over = at[rows]
+        low[rows], at[rows] = np.minimum(low[rows], low[over]), at[over]
+    return low
+
+
+def previous_factors(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """For every window of the segments, the longest string from there to its segment's end that also starts in a segment of a smaller document, in
+    bytes; 0 below length."""
     starts = np.cumsum(windows + length - 1) - (windows + length - 1)
-    at, doc = spread(starts, windows), np.repeat(docs, windows)
-    sums, down = T.prefix_sums(data), T.powers(len(data) + 1)[1]
-    whole = (sums[at + length] - sums[at]) * down[at]
-    _, which, count = np.unique(whole, return_inverse=True, return_counts=True)
-    maybe = np.flatnonzero(count[which] > 1)  # every other window differs from all
-    maybe = maybe[np.argsort(doc[maybe], kind="stable")]
-    padded = np.concatenate((data, np.zeros(8, np.uint8)))
-    words = [np.lib.stride_tricks.sliding_window_view(padded, 8)[at[maybe] + min(k, max(0, length - 8))].copy().view(">u8")[:, 0] for k in range(0, length, 8)]
-    if length < 8:
-        words = [words[0] >> np.uint64(8 * (8 - length))]
-    order = np.lexsort(words[::-1])
-    new = borders(*[w[order] for w in words]) if len(order) else np.zeros(0, bool)
-    ranked = doc[maybe][order]
-    first = ranked[new][np.cumsum(new) - 1] if len(order) else ranked
-    out = np.zeros(len(at), bool)
-    out[maybe[order]] = first < ranked
+    letter, left = letters(data, spread(starts, windows), length), np.repeat(np.cumsum(windows), windows) - np.arange(int(windows.sum()))
+    doc = np.repeat(np.unique(docs, return_inverse=True)[1], windows)
+    ranks = suffix_ranks(letter, left)
+    order = np.flatnonzero((np.bincount(letter) > 1)[letter])  # every other window is like none
+    order = order[np.argsort((ranks[-1][order] << np.uint64(32)) | doc[order].astype(np.uint64))]
+    alike = np.zeros(len(order), np.int64)
+    alike[1:] = common(ranks, left, order[:-1], order[1:])
+    up, down = to_smaller(doc[order], alike), to_smaller(doc[order][::-1], np.concatenate((alike[:1], alike[:0:-1])))[::-1]
+    factors = np.maximum(up, down)
+    out = np.zeros(len(letter), np.int64)
+    out[order] = np.where(factors > 0, factors + length - 1, 0)
     return out
 
 
@@ -170,36 +233,46 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     def sent(frame: pd.DataFrame, masks: pd.DataFrame) -> pd.DataFrame:
         if frame.empty:
-            return pd.DataFrame(columns=["shard", "windows", "docs", "data", "block"])
-        block = Block(frame, shards, length)
-        return block.packed(block.segments(masks)[2]).assign(block=frame["block"].iloc[0])
+            return pd.DataFrame(columns=["shard", "windows", "docs", "data", "state", "block"])
+        block, number = Block(frame, shards, length), frame["block"].iloc[0]
+        found, segment, firsts = block.segments(masks)
+        parts = [block.place[found], block.windows[found], segment, block.doc[found] > block.doc[firsts[segment]], block.windows[firsts], block.shard[firsts]]
+        state = np.concatenate([np.array([len(found), len(firsts)]), *parts]).astype(np.int64)
+        own = pd.DataFrame({"shard": [int(number) % shards], "state": [zlib.compress(state.tobytes(), 1)]})
+        return pd.concat([block.packed(firsts), own], ignore_index=True).assign(block=number)[["shard", "windows", "docs", "data", "state", "block"]]
 
     def resolved(group: pd.DataFrame) -> pd.DataFrame:
+        through = group[group["state"].notna()]
+        states = pd.DataFrame({"kind": 3, "block": through["block"], "shard": through["shard"], "bits": through["state"]})
+        group = group[group["state"].isna()]
+        if group.empty:
+            return states
         windows = [np.frombuffer(x, np.int64) for x in group["windows"]]
         data = np.frombuffer(b"".join(group["data"]), np.uint8)
-        found = earlier(data, np.concatenate(windows), np.frombuffer(b"".join(group["docs"]), np.int64), length)
+        found = previous_factors(data, np.concatenate(windows), np.frombuffer(b"".join(group["docs"]), np.int64), length) >= length
         ends = np.cumsum([x.sum() for x in windows])
         bits = [np.packbits(x).tobytes() for x in np.split(found, ends[:-1])]
-        return pd.DataFrame({"kind": 2, "block": group["block"], "shard": group["shard"], "bits": bits})
+        return pd.concat([states, pd.DataFrame({"kind": 2, "block": group["block"], "shard": group["shard"], "bits": bits})], ignore_index=True)
 
     def finished(frame: pd.DataFrame, masks: pd.DataFrame) -> pd.DataFrame:
-        block = Block(frame, shards, length)
-        found, segment, firsts = block.segments(masks[masks["kind"] == 1])
+        texts, keys, ids = ordered(frame)
+        state = np.frombuffer(zlib.decompress(masks.loc[masks["kind"] == 3, "bits"].iloc[0]), np.int64)
+        n, m = state[:2]
+        place, windows, segment, later, size, shard = np.split(state[2:], np.cumsum([n, n, n, n, m]))
         second = masks[masks["kind"] == 2]
         bits, answers = dict(zip(second["shard"], second["bits"], strict=True)), []
-        for s, i in slices(block.shard[firsts]):
-            answers.append(np.unpackbits(np.frombuffer(bits[s], np.uint8), count=int(block.windows[firsts[i]].sum())))
+        for s, i in slices(shard):
+            answers.append(np.unpackbits(np.frombuffer(bits[s], np.uint8), count=int(size[i].sum())))
         answer = np.concatenate(answers).astype(bool) if answers else np.zeros(0, bool)
-        before = np.cumsum(block.windows[firsts]) - block.windows[firsts]
-        windows, head = block.windows[found], firsts[segment]
-        mark = answer[spread(before[segment], windows)] | np.repeat(block.doc[found] > block.doc[head], windows)
-        data = np.frombuffer(b"".join(block.texts), np.uint8)
+        before = np.cumsum(size) - size
+        mark = answer[spread(before[segment], windows)] | np.repeat(later.astype(bool), windows)
+        data = np.frombuffer(b"".join(texts), np.uint8)
         started = np.zeros(len(data) + 1, np.int64)
-        started[1:][spread(block.place[found], windows)[mark]] = 1
+        started[1:][spread(place, windows)[mark]] = 1
         started = np.cumsum(started)
         covered = started[1:] > started[np.maximum(np.arange(len(data)) - length + 1, 0)]
         rows, a = [], 0
-        for known, key, text in zip(block.docs["known"], block.keys, block.texts, strict=True):
+        for known, key, text in zip(ids, keys, texts, strict=True):
             own, a = covered[a : a + len(text)], a + len(text)
             edges = np.flatnonzero(np.diff(own.astype(np.int8), prepend=0, append=0))
             kept = data[a - len(text) : a][~own].tobytes()
@@ -208,7 +281,7 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     by_block = dealt.groupBy("block")
     masks = by_block.applyInPandas(prints, "shard long, prints binary, several binary, block long").groupBy("shard").applyInPandas(answered, MASK)
-    runs_sent = by_block.cogroup(masks.groupBy("block")).applyInPandas(sent, "shard long, windows binary, docs binary, data binary, block long")
+    runs_sent = by_block.cogroup(masks.groupBy("block")).applyInPandas(sent, "shard long, windows binary, docs binary, data binary, state binary, block long")
     both = masks.union(runs_sent.groupBy("shard").applyInPandas(resolved, MASK))
     done = by_block.cogroup(both.groupBy("block")).applyInPandas(
         finished, "key long, known boolean, n_bytes long, n_removed long, n_spans long, kept_sha256 string, edges array<long>, kept binary"
