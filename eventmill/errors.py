@@ -29,6 +29,10 @@ class LoadMismatchError(RuntimeError):
     """The records counted before a load are not the rows it would store."""
 
 
+class ConcurrentLoadError(RuntimeError):
+    """Another load has claimed or changed a day since this one began."""
+
+
 class ModelTestError(RuntimeError):
     """At least one model test found failing rows."""
 

@@ -168,18 +168,21 @@ def run_gate(
     days: Sequence[date],
     rules: GateRules = GateRules(),
     mode: str = "FAILFAST",
+    listed: bool = False,
 ) -> GateResult:
     """Check whole days; only the one row of counts per day reaches the driver.
 
+    ``listed`` says that the caller has already seen files of every day.
+
     A column is present when any record has it, so the first ``WITNESSES`` records of each task normally settle
     that check. The number changes the cost only: days where a required key did not show up there have all
     their records looked at.
     """
-    counts = day_counts(read_envelopes(spark, raw_dir, days, mode, witnesses=WITNESSES), rules)
+    counts = day_counts(read_envelopes(spark, raw_dir, days, mode, witnesses=WITNESSES, listed=listed), rules)
     rows = {row.land_date: row for row in counts.collect()}
     unseen = [d for d, row in rows.items() if not all(row[f"has_{k}"] for k in rules.required)]
     if unseen:
-        recount = day_counts(read_envelopes(spark, raw_dir, unseen, mode), rules)
+        recount = day_counts(read_envelopes(spark, raw_dir, unseen, mode, listed=True), rules)
         rows.update((row.land_date, row) for row in recount.collect())
     # A day without records has no counts at all.
     full = [tuple(rows.get(d) or (d, *[None] * (len(counts.columns) - 1))) for d in days]
@@ -190,7 +193,7 @@ def run_gate(
     samples: dict[tuple, list[str]] = {}
     values = None
     if shown:
-        light = read_light(spark, raw_dir, shown, mode)
+        light = read_light(spark, raw_dir, shown, mode, listed=True)
         values = unexpected_values(light, rules)
         for row in unexpected_samples(light, rules).collect():
             samples.setdefault((row.land_date, row.check), []).append(row.value)

@@ -51,9 +51,9 @@ class LoadResult:
     rejected: dict[date, int]
 
 
-def count_days(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST") -> dict[date, DayRows]:
+def count_days(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST", listed: bool = False) -> dict[date, DayRows]:
     counted = (
-        read_light(spark, raw_dir, days, mode)
+        read_light(spark, raw_dir, days, mode, listed)
         .groupBy("land_date")
         .agg(F.count(F.lit(1)).alias("total"), F.count_if(belongs_to_land_date()).alias("in_day"))
     )
@@ -81,24 +81,28 @@ def load_days(
     only then do the days point to them, without a second write. Whatever fails earlier leaves the old rows where they were. A tolerant load
     (``PERMISSIVE``) has no count to compare with, because only the full parse tells which lines are malformed.
 
+    Two loads of one day at the same time never mix: whichever finds, once it has claimed its days in the ledger, that another load has
+    claimed or changed one of them since it began stops with :class:`ConcurrentLoadError` and leaves the table as it is.
+
     Files of usual size are parsed and written by the task that reads them, without a shuffle. A file
     far above that is dealt out first, because gzip cannot be split. Files so small that a task reads
     several, of any day, are gathered by day, or each task would write a file into each day.
     """
     days = sorted(set(days))
+    before = ledger.last_entries(spark, table, days)
     size = size or landed_size(spark, raw_dir, days)
     spread = math.ceil(size.total / SPREAD_BYTES) if size.largest > OVERSIZED_FILE_BYTES else None
     gathered = spread is not None or size.total < size.files * SHARED_TASK_FILE_BYTES
     tolerant = mode == "PERMISSIVE"
     if not tolerant:
-        counted = dict(count_days(spark, raw_dir, days, mode) if counted is None else counted)
+        counted = dict(count_days(spark, raw_dir, days, mode, listed=True) if counted is None else counted)
         rejected = {d: n.rejected for d, n in counted.items() if n.rejected}
         if strict:
             _refuse_strays(rejected)
 
     ensure_raw_table(spark, table)
     rejects = table + REJECTS_SUFFIX
-    events = read_events(spark, raw_dir, days, mode, spread).withColumnRenamed("land_date", "event_date")
+    events = read_events(spark, raw_dir, days, mode, spread, listed=True).withColumnRenamed("land_date", "event_date")
     mine = F.col("created_at").isNull() | (F.col("event_date") == F.to_date("created_at"))
     fate = F.when(mine, KEPT).otherwise(STRAY)
     if tolerant:
@@ -120,7 +124,7 @@ def load_days(
                 raise LoadMismatchError(f"counted {was} records of {off}, parsed {sum(wanted[d].total for d in off)}")
             loaded = {d: loaded.get(d, 0) for d in days}
         # Noted on both sides of the change: marts built from half of it are due again.
-        ledger.note_load(spark, table, days)
+        ledger.claim(spark, table, days, before)
         replace_days(spark, source, table, "event_date", days, fate=KEPT)
         replace_days(spark, source, rejects, "event_date", days, fate=STRAY)
         ledger.note_load(spark, table, days)

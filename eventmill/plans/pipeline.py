@@ -55,6 +55,8 @@ DIMENSIONS = {
     "dim_repo": ("int_repo_sightings", "repo_id", "repo_name"),
     "dim_actor": ("int_actor_sightings", "actor_id", "actor_login"),
 }
+# Columns of the fact that are asked for one value.
+FACT_LOOKUPS = ("repo_id", "actor_id")
 TEST_STATES = ("int_event_ids", "test_days", "test_duplicates", "test_orphans")
 # A bucket of a state that is joined by key holds about so many rows of all kept days.
 LEAST_BUCKETS, ROWS_A_BUCKET = 4, 1 << 23
@@ -78,7 +80,7 @@ def build_models(spark: SparkSession, raw: DataFrame, target: str = "dev", prefi
     if materialization(target, "fct_events") == "table":
         # The layout refresh_models() keeps up to date day by day.
         dated = gather_days(fact.withColumn("event_date", F.to_date("created_at")), "event_date")
-        stored = add("fct_events", dated, partition="event_date", cluster=["event_type"])
+        stored = add("fct_events", dated, partition="event_date", cluster=["event_type"], lookups=FACT_LOOKUPS)
         built["fct_events"] = stored.select(*models.FACT_COLUMNS)
         rollup = gather_days(models.agg_daily_repo_activity(built["fct_events"]), "activity_date")
         add("agg_daily_repo_activity", rollup, partition="activity_date", cluster=["repo_id"])
@@ -114,7 +116,7 @@ class Refresh:
     def staged_of(self, due: Iterable[date]) -> DataFrame:
         return models.stg_events(self.raw.where(F.col("event_date").isin(sorted(due))))
 
-    def days(self, model: str, partition: str, cluster: list[str], build, bucketed: str | None = None) -> DataFrame:
+    def days(self, model: str, partition: str, cluster: list[str], build, bucketed: str | None = None, lookups: Sequence[str] = ()) -> DataFrame:
         """Settle a state that is stored by day; ``build`` gives the rows of some days."""
         table = self.name(model)
         held = set(partition_days(self.spark, table))
@@ -127,7 +129,7 @@ class Refresh:
             rows = build(sorted(due))
             buckets = Buckets(bucketed, self._buckets(due)) if bucketed and not self.spark.catalog.tableExists(table) else None
             # Rows of a single day cannot scatter over days: no task writes more than one file. Buckets deal the rows themselves.
-            put_days(gather_days(rows, partition) if len(due) > 1 and not bucketed else rows, table, partition, cluster, due, buckets)
+            put_days(gather_days(rows, partition) if len(due) > 1 and not bucketed else rows, table, partition, cluster, due, buckets, lookups)
         self.settled[model] = {d: self.loads[d] for d in due if d in self.loads}
         return self.spark.table(table)
 
@@ -175,7 +177,7 @@ def refresh_models(
     def fact_of(due: list[date]) -> DataFrame:
         return models.fct_events(run.of_days(due)).withColumn("event_date", F.to_date("created_at"))
 
-    fact = run.days("fct_events", "event_date", ["event_type"], fact_of)
+    fact = run.days("fct_events", "event_date", ["event_type"], fact_of, lookups=FACT_LOOKUPS)
 
     def rollup_of(due: list[date]) -> DataFrame:
         return models.agg_daily_repo_activity(fact.where(F.col("event_date").isin(due)))
@@ -334,7 +336,7 @@ def run_days(
     covered = [d for d in days if state[d]["coverage"] == "complete"]
     if covered:
         size = landed_size(spark, raw_dir, covered)
-        gate = run_gate(spark, raw_dir, covered, rules, mode)
+        gate = run_gate(spark, raw_dir, covered, rules, mode, listed=True)
         for day in covered:
             state[day] |= {"gate": "failed", "stopped_by": "gate"} if day in gate.failed_days else {"gate": "passed"}
         if gate.failures:

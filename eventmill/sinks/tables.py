@@ -130,13 +130,24 @@ def buckets_of(spark: SparkSession, table: str) -> Buckets | None:
     return Buckets(described["Bucket Columns"].strip("[]`"), int(described["Num Buckets"]))
 
 
-def _laid_out(df: DataFrame, partitions: Sequence[str], cluster: Sequence[str], buckets: Buckets | None, dealt: bool = False):
+#: A Bloom filter's largest size in a row group's column; the writer takes the smallest of a few sizes that fits the column's distinct values.
+BLOOM_BYTES = 1 << 20
+
+
+def _laid_out(
+    df: DataFrame, partitions: Sequence[str], cluster: Sequence[str], buckets: Buckets | None, dealt: bool = False, lookups: Sequence[str] = ()
+):
     """A writer of rows ordered by day inside each task, so that a task writing several days keeps one file open at a time, and by the
-    cluster columns inside a day, so that row groups can be skipped. ``dealt`` rows come from a join of equal buckets and are not shuffled."""
+    cluster columns inside a day, so that row groups can be skipped. ``lookups`` are columns that are asked for single values: each row group
+    keeps a Bloom filter of theirs, and one that cannot hold the value is not read. ``dealt`` rows come from a join of equal buckets and are not shuffled."""
     if buckets:
         df, cluster = df if dealt else df.repartition(buckets.number, buckets.column), [buckets.column]
     order = [*partitions, *cluster]
     writer = (df.sortWithinPartitions(*order) if order else df).write.format("parquet")
+    for column in lookups:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
+    if lookups:
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true").option("parquet.bloom.filter.max.bytes", str(BLOOM_BYTES))
     if partitions:
         writer = writer.partitionBy(*partitions)
     return writer.bucketBy(buckets.number, buckets.column).sortBy(buckets.column) if buckets else writer
@@ -148,14 +159,15 @@ def _location(spark: SparkSession, table: str, partition: str = "") -> str:
     return next(row.data_type for row in described if row.col_name == "Location")
 
 
-def _remove(spark: SparkSession, folder: str) -> None:
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a file or a folder with all it holds."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
 def staged(
-    df: DataFrame, table: str, *partitions: str, cluster: Sequence[str] = (), buckets: Buckets | None = None
+    df: DataFrame, table: str, *partitions: str, cluster: Sequence[str] = (), buckets: Buckets | None = None, lookups: Sequence[str] = ()
 ) -> Iterator[str]:
     """``df`` as a table of its own in a folder of ``table``, in its final layout; ``table`` itself is not touched.
 
@@ -167,11 +179,11 @@ def staged(
     load = uuid.uuid4().hex[:12]
     name, folder = f"{stored}_staged_{load}", f"{_location(spark, stored)}/load-{load}"
     try:
-        _laid_out(df, partitions, cluster, buckets).option("path", folder).saveAsTable(name)
+        _laid_out(df, partitions, cluster, buckets, lookups=lookups).option("path", folder).saveAsTable(name)
         yield name
     except BaseException:
         if not any(load in _location(spark, stored, _spec(spark, stored, d)) for d in partition_days(spark, stored)):
-            _remove(spark, folder)
+            remove(spark, folder)
         raise
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: its files stay
@@ -204,24 +216,24 @@ def replace_days(spark: SparkSession, source: str, table: str, partition: str, d
     drop_days(spark, table, [d for d in days if d in held and d not in found])
     spark.catalog.refreshTable(table)
     for folder in old:
-        _remove(spark, folder)
+        remove(spark, folder)
 
 
 def put_days(
-    df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], buckets: Buckets | None = None
+    df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], buckets: Buckets | None = None, lookups: Sequence[str] = ()
 ) -> None:
     """Make ``days`` of a model table equal ``df``, creating the table on first use (with ``buckets``, which it then keeps)."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
-        replace_table(df, table, partition, cluster, buckets)
+        replace_table(df, table, partition, cluster, buckets, lookups=lookups)
         return
-    with staged(df, table, partition, cluster=cluster, buckets=buckets_of(spark, table)) as source:
+    with staged(df, table, partition, cluster=cluster, buckets=buckets_of(spark, table), lookups=lookups) as source:
         replace_days(spark, source, table, partition, days)
 
 
 def replace_table(
     df: DataFrame, table: str, partition: str | None = None, cluster: Sequence[str] = (), buckets: Buckets | None = None,
-    shown: Sequence[str] | None = None, dealt: bool = False,
+    shown: Sequence[str] | None = None, dealt: bool = False, lookups: Sequence[str] = (),
 ) -> None:
     """Rebuild a whole table as a new version, then point its name to it; a build that fails changes nothing.
 
@@ -230,7 +242,7 @@ def replace_table(
     spark = df.sparkSession
     version = f"{table}__v{uuid.uuid4().hex[:12]}"
     try:
-        _laid_out(df, [partition] if partition else [], cluster, buckets, dealt).saveAsTable(version)
+        _laid_out(df, [partition] if partition else [], cluster, buckets, dealt, lookups).saveAsTable(version)
     except BaseException:
         spark.sql(f"DROP TABLE IF EXISTS {version}")
         raise
@@ -293,6 +305,7 @@ def materialize(
     partition: str | None = None,
     cluster: Sequence[str] = (),
     prefix: str = "",
+    lookups: Sequence[str] = (),
 ) -> DataFrame:
     """Store ``df`` as the model ``name`` and return it as its readers will see it.
 
@@ -305,7 +318,7 @@ def materialize(
         return spark.table(view)
     table = relation(target, name, prefix)
     ensure_database(spark, namespace(target, LAYERS[name], prefix))
-    replace_table(df, table, partition, cluster)
+    replace_table(df, table, partition, cluster, lookups=lookups)
     return spark.table(table)
 
 

@@ -6,7 +6,6 @@ is narrow, so a back-fill of many days runs as one job with one task per hourly
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
@@ -24,22 +23,35 @@ from eventmill.sources.landing import day_dir, day_files, finished_files, is_mis
 
 CORRUPT = "_corrupt_record"
 LIGHT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in ("id", "type", "created_at")])
-PATH_DAY = re.compile(r"/(\d{4}/\d{2}/\d{2})/\d{1,2}\.json\.gz")
+
+
+@dataclass(frozen=True)
+class LandedSize:
+    files: int
+    total: int
+    largest: int
 
 
 def _load(reader: DataFrameReader, raw_dir: str, days: Sequence[date]) -> DataFrame:
     """All files of the days as one scan. Day folders are listed, so a long back-fill stays cheap to plan."""
     try:
-        frame = finished_files(reader).load([day_dir(raw_dir, day) for day in days])
+        return finished_files(reader).load([day_dir(raw_dir, day) for day in days])
     except AnalysisException as error:
         if is_missing_path(error):
             raise MissingDayError(f"no landed files: {error.getMessage()}") from error
         raise
-    found = {match[1] for match in map(PATH_DAY.search, frame.inputFiles()) if match}
-    empty = [day for day in days if f"{day:%Y/%m/%d}" not in found]
+
+
+def _sizes(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> dict[date, LandedSize]:
+    """What each day holds, from file metadata: one row per day comes to the driver. A day without a file is an error."""
+    files = _load(spark.read.format("binaryFile"), raw_dir, days)
+    by_day = files.groupBy(F.to_date(path_hour(F.col("path"))).alias("day"))
+    found = by_day.agg(F.count(F.lit(1)).alias("files"), F.sum("length").alias("total"), F.max("length").alias("largest")).collect()
+    sizes = {row.day: LandedSize(row.files, row.total, row.largest) for row in found}
+    empty = [day for day in days if day not in sizes]
     if empty:
         raise MissingDayError("no landed files for " + ", ".join(map(str, empty)))
-    return frame
+    return sizes
 
 
 def _land_date(days: Sequence[date]) -> Column:
@@ -52,8 +64,13 @@ def _with_corrupt(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
 
 
-def _lines(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> DataFrame:
-    """The records of whole days as text: every line that holds more than white space is one, none other is."""
+def _lines(spark: SparkSession, raw_dir: str, days: Sequence[date], listed: bool) -> DataFrame:
+    """The records of whole days as text: every line that holds more than white space is one, none other is.
+
+    With ``listed`` the caller has already seen, by ``landed_size``, that every day has files, and they are not listed once more.
+    """
+    if not listed:
+        _sizes(spark, raw_dir, days)
     lines = _load(spark.read.format("text"), raw_dir, days)
     return lines.where(F.col("value").rlike(r"\S")).select("value", _land_date(days).alias("land_date"))
 
@@ -64,7 +81,7 @@ def _parsed(schema: T.StructType, mode: str) -> Column:
 
 
 def read_events(
-    spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST", spread: int | None = None
+    spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST", spread: int | None = None, listed: bool = False
 ) -> DataFrame:
     """Typed raw records of whole days, with the day they landed under as ``land_date``.
 
@@ -72,31 +89,23 @@ def read_events(
     ``spread`` deals the lines out over that many tasks before they are parsed, and changes nothing else. It costs
     a shuffle of the text and pays off only where one file is far larger than the others.
     """
-    lines = _lines(spark, raw_dir, days)
+    lines = _lines(spark, raw_dir, days, listed)
     if spread is not None:
         lines = lines.repartition(spread)
     schema = _with_corrupt(RAW_SCHEMA) if mode == "PERMISSIVE" else RAW_SCHEMA
     return lines.select(_parsed(schema, mode).alias("event"), "land_date").select("event.*", "land_date")
 
 
-@dataclass(frozen=True)
-class LandedSize:
-    files: int
-    total: int
-    largest: int
-
-
 def landed_size(spark: SparkSession, raw_dir: str, days: Sequence[date]) -> LandedSize:
     """How much whole days hold, from file metadata."""
-    files = _load(spark.read.format("binaryFile"), raw_dir, days)
-    row = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
-    return LandedSize(*(n or 0 for n in row))
+    sizes = _sizes(spark, raw_dir, days).values()
+    return LandedSize(sum(s.files for s in sizes), sum(s.total for s in sizes), max((s.largest for s in sizes), default=0))
 
 
-def read_light(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST") -> DataFrame:
+def read_light(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: str = "FAILFAST", listed: bool = False) -> DataFrame:
     """Only id, type and created_at of whole days; an unreadable created_at is null."""
     return (
-        _lines(spark, raw_dir, days)
+        _lines(spark, raw_dir, days, listed)
         .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), "land_date")
         .select("light.id", "light.type", F.col("light.created_at").try_cast("timestamp").alias("created_at"), "land_date")
     )
@@ -108,6 +117,7 @@ def read_envelopes(
     days: Sequence[date],
     mode: str = "FAILFAST",
     witnesses: int | None = None,
+    listed: bool = False,
 ) -> DataFrame:
     """The light columns plus the top-level keys each record really has.
 
@@ -120,7 +130,7 @@ def read_envelopes(
         # The low 33 bits of the generated id count a task's rows.
         keys = F.when(F.monotonically_increasing_id().bitwiseAND(0x1FFFFFFFF) < witnesses, keys)
     return (
-        _lines(spark, raw_dir, days)
+        _lines(spark, raw_dir, days, listed)
         .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), keys.alias("keys"), "land_date")
         .select(
             "light.id",

@@ -413,6 +413,9 @@ def check_sql() -> dict[str, str]:
         "day_wise_dims": f"""with {STORED_MARTS}
             select 'repo' as dim, repo_id as id, repo_name as label from dim_repo_t
             union all select 'actor', actor_id, actor_login from dim_actor_t""",
+        "repo_lookup": f"""with {STORED}
+            select cast(created_at as date) as event_date, event_type, count(*) as events from stored
+            where repo_id = (select repo_id from stored where repo_id is not null group by 1 order by count(*) desc, 1 limit 1) group by all""",
         "dims_after_expiry": f"""with {STORED},
             last_day as (select max(cast(land_hour as date)) as newest from feed),
             left_over as (

@@ -330,6 +330,14 @@ def q_day_wise_rollup(spark, sf):
     return _day_wise_marts(spark, sf)["agg_daily_repo_activity"]
 
 
+def q_repo_lookup(spark, sf):
+    """Events of the repository with the most of them, by day and type, from a fact that is stored by day with Bloom filters of repositories."""
+    fact = _day_wise_marts(spark, sf)["fct_events"]
+    most = fact.where("repo_id IS NOT NULL").groupBy("repo_id").count().orderBy(F.desc("count"), "repo_id").first()
+    found = fact.where(F.col("repo_id") == (most.repo_id if most else None))
+    return found.groupBy(F.to_date("created_at").alias("event_date"), "event_type").agg(F.count(F.lit(1)).alias("events"))
+
+
 def q_day_wise_dims(spark, sf):
     built = _day_wise_marts(spark, sf)
     repos = built["dim_repo"].select(F.lit("repo").alias("dim"), F.col("repo_id").alias("id"), F.col("repo_name").alias("label"))
@@ -506,6 +514,7 @@ QUERIES = {
     "daily_run": q_daily_run,
     "day_wise_rollup": q_day_wise_rollup,
     "day_wise_dims": q_day_wise_dims,
+    "repo_lookup": q_repo_lookup,
     "dims_after_expiry": q_dims_after_expiry,
     "tests_by_day": q_tests_by_day,
     "duplicates_by_day": q_duplicates_by_day,

@@ -139,8 +139,8 @@ def test_a_day_is_written_once_and_swapped_by_its_location(spark, prefix, monkey
     tables.put_days(frame, name, "event_date", ["k"], days)
     root = pathlib.Path(tables._location(spark, tables.physical(spark, name)).removeprefix("file:"))
     other = made(spark, 8, days[:2])
-    removed, real = [], tables._remove
-    monkeypatch.setattr(tables, "_remove", lambda s, folder: (removed.append(folder), real(s, folder)))
+    removed, real = [], tables.remove
+    monkeypatch.setattr(tables, "remove", lambda s, folder: (removed.append(folder), real(s, folder)))
     tables.put_days(other, name, "event_date", ["k"], days[:2])
     expected = other.unionAll(frame.where(F.col("event_date") == days[2]))
     assert rows_of(spark.table(name).select(*frame.columns)) == rows_of(expected)
