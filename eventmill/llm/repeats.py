@@ -193,9 +193,8 @@ def to_smaller(doc: np.ndarray, alike: np.ndarray) -> np.ndarray:
     return low
 
 
-def previous_factors(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
-    """For every window of the segments, the longest string from there to its segment's end that also starts in a segment of a smaller document, in
-    bytes; 0 below length."""
+def factors(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """`previous_factors` of segments that all differ, in letters."""
     starts = np.cumsum(windows + length - 1) - (windows + length - 1)
     letter, left = letters(data, spread(starts, windows), length), np.repeat(np.cumsum(windows), windows) - np.arange(int(windows.sum()))
     doc = np.repeat(np.unique(docs, return_inverse=True)[1], windows)
@@ -205,12 +204,32 @@ def previous_factors(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, le
     alike = np.zeros(len(order), np.int64)
     alike[1:] = common(ranks, left, order[:-1], order[1:])
     up, down = to_smaller(doc[order], alike), to_smaller(doc[order][::-1], np.concatenate((alike[:1], alike[:0:-1])))[::-1]
-    factors = np.maximum(up, down)
     out = np.zeros(len(letter), np.int64)
-    out[order] = np.where(factors > 0, factors + length - 1, 0)
+    out[order] = np.maximum(up, down)
     return out
 
 
+def previous_factors(data: np.ndarray, windows: np.ndarray, docs: np.ndarray, length: int) -> np.ndarray:
+    """For every window of the segments, the longest string from there to its segment's end that also starts in a segment of a smaller document, in
+    bytes; 0 below length.
+
+    Equal segments, which different blocks have sent, are sorted once, with their smallest document: those of larger ones are found in it to their end.
+    """
+    held, ends, numbers = data.tobytes(), np.cumsum(windows + length - 1), {}
+    bounds = zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)
+    which = np.fromiter((numbers.setdefault(held[a:b], len(numbers)) for a, b in bounds), np.int64, len(windows))
+    del held
+    first = np.unique(which, return_index=True)[1]
+    least = np.full(len(numbers), NO_ID)
+    np.minimum.at(least, which, docs)
+    found = factors(np.frombuffer(b"".join(numbers), np.uint8), windows[first], least, length)
+    begin = np.cumsum(windows[first]) - windows[first]
+    out = found[spread(begin[which], windows)]
+    left = np.repeat(np.cumsum(windows), windows) - np.arange(len(out))
+    out = np.where(np.repeat(docs > least[which], windows), left, out)
+    return np.where(out > 0, out + length - 1, 0)
+
+
 def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, spans (start and end of removed bytes) and kept (the remaining bytes) of every row."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
