@@ -53,18 +53,28 @@ def belongs_to_land_date() -> Column:
     return F.col("created_at").isNull() | (F.to_date("created_at") == F.col("land_date"))
 
 
+def tallies(rules: GateRules = GateRules()) -> dict[str, Column]:
+    """Every count the checks and the load need, as the condition that a counted record meets; a ``has_`` one only asks for any such record."""
+    return {
+        "total": F.lit(True),
+        **{f"{c}_count": F.col(c).isNotNull() for c in rules.critical},
+        "timed": F.col("created_at").isNotNull(),
+        "in_range": rules.in_range(),
+        "typed": F.col("type").isNotNull(),
+        "known": rules.is_known(),
+        "in_day": belongs_to_land_date(),
+        **{f"has_{k}": F.array_contains("keys", k) for k in rules.required},
+    }
+
+
+def tallied(name: str, condition: Column) -> Column:
+    """The aggregate of one of ``tallies``."""
+    return F.coalesce(F.bool_or(condition), F.lit(False)) if name.startswith("has_") else F.count_if(condition)
+
+
 def day_counts(envelopes: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
     """One row per land_date holding every count the checks and the load need."""
-    return envelopes.groupBy("land_date").agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count(c).alias(f"{c}_count") for c in rules.critical],
-        F.count("created_at").alias("timed"),
-        F.count_if(rules.in_range()).alias("in_range"),
-        F.count("type").alias("typed"),
-        F.count_if(rules.is_known()).alias("known"),
-        F.count_if(belongs_to_land_date()).alias("in_day"),
-        *[F.coalesce(F.bool_or(F.array_contains("keys", k)), F.lit(False)).alias(f"has_{k}") for k in rules.required],
-    )
+    return envelopes.groupBy("land_date").agg(*[tallied(name, met).alias(name) for name, met in tallies(rules).items()])
 
 
 def check_rows(counts: DataFrame, rules: GateRules = GateRules()) -> DataFrame:
@@ -179,14 +189,22 @@ def run_gate(
     their records looked at.
     """
     counts = day_counts(read_envelopes(spark, raw_dir, days, mode, witnesses=WITNESSES, listed=listed), rules)
-    rows = {row.land_date: row for row in counts.collect()}
+    return judge(spark, raw_dir, days, {row.land_date: row for row in counts.collect()}, rules, mode)
+
+
+def judge(
+    spark: SparkSession, raw_dir: str, days: Sequence[date], rows: dict[date, Row], rules: GateRules = GateRules(), mode: str = "FAILFAST"
+) -> GateResult:
+    """The verdict on counts made before, by whatever scan; the files are only read for keys not yet seen and for offending values."""
+    rows = dict(rows)
     unseen = [d for d, row in rows.items() if not all(row[f"has_{k}"] for k in rules.required)]
     if unseen:
         recount = day_counts(read_envelopes(spark, raw_dir, unseen, mode, listed=True), rules)
         rows.update((row.land_date, row) for row in recount.collect())
     # A day without records has no counts at all.
-    full = [tuple(rows.get(d) or (d, *[None] * (len(counts.columns) - 1))) for d in days]
-    schema = ", ".join(f"{name} {kind}" for name, kind in counts.dtypes)
+    names = list(tallies(rules))
+    full = [tuple(rows.get(d) or (d, *[None] * len(names))) for d in days]
+    schema = ", ".join(["land_date date", *[f"{name} {'boolean' if name.startswith('has_') else 'bigint'}" for name in names]])
     checks = check_rows(local_frame(spark, full, schema), rules)
     failures = [row.asDict() for row in checks.where(~F.col("success")).orderBy("land_date").collect()]
     shown = sorted({f["land_date"] for f in failures if f["unexpected_count"] and f["check"] in ("in_range", "in_set")})

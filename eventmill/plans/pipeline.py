@@ -2,7 +2,7 @@
 
 coverage -> gate -> load -> retention -> models -> model tests; a day that fails a step goes no further. Dates come from the caller, never
 from the clock, so a back-fill gives what the daily runs would have given. A back-fill is one
-batch: its days share one gate scan, one load job and one build per model.
+batch: its days share one pass of gate and load and one build per model.
 """
 
 from __future__ import annotations
@@ -17,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventmill.errors import MissingDayError, ModelTestError, QualityGateError, SyncFailedError
-from eventmill.operators.gate import GateResult, GateRules, run_gate
+from eventmill.operators.gate import GateResult, GateRules
 from eventmill.operators.delta_tests import day_failures, results_of, summed_failures, updated_duplicates, updated_orphans, value_counts
 from eventmill.operators.latest import newest_per_key, updated_latest
 from eventmill.operators.model_tests import DECLARED, run_model_tests
 from eventmill.plans import models
-from eventmill.plans.load import DayRows, LoadResult, load_days
+from eventmill.plans.load import LoadResult, load_gated
 from eventmill.schema import RETENTION_DAYS
 from eventmill.session import local_frame, sized_shuffles
 from eventmill.sinks import ledger
@@ -336,16 +336,17 @@ def run_days(
     covered = [d for d in days if state[d]["coverage"] == "complete"]
     if covered:
         size = landed_size(spark, raw_dir, covered)
-        gate = run_gate(spark, raw_dir, covered, rules, mode, listed=True)
-        for day in covered:
-            state[day] |= {"gate": "failed", "stopped_by": "gate"} if day in gate.failed_days else {"gate": "passed"}
-        if gate.failures:
-            errors.append(QualityGateError(gate.failures))
-            _keep_offenders(spark, gate, raw_table)
-    passed = [d for d in covered if d not in gate.failed_days]
-    if passed:
-        counted = {d: DayRows(gate.counts[d].total, gate.counts[d].in_day) for d in passed}
-        load = load_days(spark, raw_dir, passed, raw_table, strict, mode, counted, size if passed == covered else None)
+
+        def judged(verdict: GateResult) -> None:
+            for day in covered:
+                state[day] |= {"gate": "failed", "stopped_by": "gate"} if day in verdict.failed_days else {"gate": "passed"}
+            if verdict.failures:
+                errors.append(QualityGateError(verdict.failures))
+                _keep_offenders(spark, verdict, raw_table)
+
+        gate, load = load_gated(spark, raw_dir, covered, raw_table, rules, strict, mode, size, judged)
+    if load is not None:
+        passed = [d for d in covered if d not in gate.failed_days]
         held = partition_days(spark, raw_table)
         if keep_days is not None:
             newest = max([*days, *held])

@@ -219,6 +219,18 @@ def replace_days(spark: SparkSession, source: str, table: str, partition: str, d
         remove(spark, folder)
 
 
+def keep_only(spark: SparkSession, source: str, wanted: Iterable[str]) -> None:
+    """Delete the files of a staged table's partitions that no day will point to; ``wanted`` are partitions as the catalog shows them."""
+    root, wanted = _location(spark, source), set(wanted)
+    held = [row.partition for row in spark.sql(f"SHOW PARTITIONS {source}").collect()]
+    if not wanted.intersection(held):
+        remove(spark, root)
+        return
+    for partition in held:
+        if partition not in wanted:
+            remove(spark, f"{root}/{partition}")
+
+
 def put_days(
     df: DataFrame, table: str, partition: str, cluster: Sequence[str], days: Iterable[date], buckets: Buckets | None = None, lookups: Sequence[str] = ()
 ) -> None:

@@ -111,6 +111,33 @@ def read_light(spark: SparkSession, raw_dir: str, days: Sequence[date], mode: st
     )
 
 
+def _keys(witnesses: int | None) -> Column:
+    """The top-level keys of a line; with ``witnesses``, of the first so many lines of each task only."""
+    keys = F.json_object_keys("value")
+    if witnesses is None:
+        return keys
+    # The low 33 bits of the generated id count a task's rows.
+    return F.when(F.monotonically_increasing_id().bitwiseAND(0x1FFFFFFFF) < witnesses, keys)
+
+
+def read_gated(
+    spark: SparkSession, raw_dir: str, days: Sequence[date], witnesses: int | None = None, spread: int | None = None, listed: bool = False
+) -> DataFrame:
+    """What both the gate and the load need of whole days, from one scan and one parse of each line.
+
+    The typed records of ``read_events`` with malformed lines in ``_corrupt_record``, ``unreadable`` for those of them that are no
+    record at all (in the others some field has another type), and the ``keys`` of ``read_envelopes``.
+    """
+    lines = _lines(spark, raw_dir, days, listed)
+    if spread is not None:
+        lines = lines.repartition(spread)
+    parsed = lines.select("value", _parsed(_with_corrupt(RAW_SCHEMA), "PERMISSIVE").alias("event"), _keys(witnesses).alias("keys"), "land_date")
+    # Only malformed lines are looked at once more.
+    light = _parsed(_with_corrupt(LIGHT_SCHEMA), "PERMISSIVE")[CORRUPT].isNotNull()
+    unreadable = F.when(F.col(f"event.{CORRUPT}").isNotNull(), light).otherwise(False)
+    return parsed.select("event.*", unreadable.alias("unreadable"), "keys", "land_date")
+
+
 def read_envelopes(
     spark: SparkSession,
     raw_dir: str,
@@ -125,13 +152,9 @@ def read_envelopes(
     the records carry it. Listing a record's keys takes a second look at its text; with ``witnesses``
     only the first so many records of each task get one and the others have null keys.
     """
-    keys = F.json_object_keys("value")
-    if witnesses is not None:
-        # The low 33 bits of the generated id count a task's rows.
-        keys = F.when(F.monotonically_increasing_id().bitwiseAND(0x1FFFFFFFF) < witnesses, keys)
     return (
         _lines(spark, raw_dir, days, listed)
-        .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), keys.alias("keys"), "land_date")
+        .select(_parsed(LIGHT_SCHEMA, mode).alias("light"), _keys(witnesses).alias("keys"), "land_date")
         .select(
             "light.id",
             "light.type",

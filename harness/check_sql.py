@@ -399,6 +399,20 @@ def check_sql() -> dict[str, str]:
                    count(*) filter (where cast(land_hour as date) = cast(created_at as date)) as loaded,
                    count(*) filter (where cast(land_hour as date) <> cast(created_at as date)) as rejected
             from feed group by 1""",
+        "gated_load": f"""with {FEED},
+            days as (
+              select cast(land_hour as date) as land_date, cast(land_hour as date) <> date '{feed.ODD_DAY}' as passed, count(*) as records,
+                     count(*) filter (where cast(land_hour as date) = cast(created_at as date)) as mine
+              from feed
+              where cast(land_hour as date) <> date '{feed.MISSING_DAY}'
+                and not (cast(land_hour as date) = date '{feed.LOST_DAY}'
+                         and extract(hour from land_hour) between {feed.LOST_HOURS[0]} and {feed.LOST_HOURS[1]})
+              group by 1, 2
+            )
+            select land_date, records, passed, case when passed then 0 else records end as odd_types,
+                   case when passed then mine end as loaded, case when passed then records - mine end as rejected,
+                   case when passed and mine > 0 then mine end as stored
+            from days""",
         "straggler_rejects": f"""with {FEED}
             select event_id as id, event_type as type, created_at, cast(land_hour as date) as event_date
             from feed where cast(land_hour as date) <> cast(created_at as date)""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from eventmill.functions.hours import explode_hours, hour_grid, hour_key, hour_path, trailing_window
 from eventmill.operators import delta_tests, gate, model_tests
 from eventmill.plans import models, pipeline, serving
-from eventmill.plans.load import load_days
+from eventmill.plans.load import OBSERVED_DAYS, load_days, load_gated
 from eventmill.session import local_frame, pin, shared_dir
 from eventmill.sinks import tables
 from eventmill.sources import landing as landing_source
@@ -222,6 +222,25 @@ def q_loaded_row_count(spark, sf):
     return local_frame(spark, rows, "land_date date, loaded bigint, rejected bigint")
 
 
+def q_gated_load(spark, sf):
+    """Gate and load in one pass over a landing with mishaps: the verdict, the counts of the load and the rows that the table then holds."""
+    table = f"{_fresh_prefix(spark)}raw.events"
+    tables.ensure_raw_table(spark, table)
+    raw_dir, days = _landed(spark, sf, "mishaps")
+    rows = []
+    for first in range(0, len(days), OBSERVED_DAYS):
+        batch = days[first : first + OBSERVED_DAYS]
+        verdict, load = load_gated(spark, raw_dir, batch, table, strict=False)
+        odd = {f["land_date"]: f["unexpected_count"] for f in verdict.failures if f["check"] == "in_set"}
+        for day in batch:
+            passed = day not in verdict.failed_days
+            loaded = (load.loaded[day], load.rejected.get(day, 0)) if passed else (None, None)
+            rows.append((day, verdict.counts[day].total, passed, odd.get(day, 0), *loaded))
+    judged = local_frame(spark, rows, "land_date date, records bigint, passed boolean, odd_types bigint, loaded bigint, rejected bigint")
+    stored = spark.table(table).groupBy(F.col("event_date").alias("land_date")).agg(F.count(F.lit(1)).alias("stored"))
+    return judged.join(stored, "land_date", "left")
+
+
 def q_straggler_rejects(spark, sf):
     table = _loaded(spark, sf)[3]
     return spark.table(table + tables.REJECTS_SUFFIX).select("id", "type", "created_at", "event_date")
@@ -508,6 +527,7 @@ QUERIES = {
     "run_outcome": q_run_outcome,
     "reload_recovery": q_reload_recovery,
     "loaded_row_count": q_loaded_row_count,
+    "gated_load": q_gated_load,
     "straggler_rejects": q_straggler_rejects,
     "partition_retention": q_partition_retention,
     "pruned_range_scan": q_pruned_range_scan,
