@@ -21,7 +21,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from eventmill.operators.gate import run_gate  # noqa: E402
 from eventmill.operators.model_tests import run_model_tests  # noqa: E402
 from eventmill.plans import pipeline, serving  # noqa: E402
-from eventmill.plans.load import DayRows, load_days  # noqa: E402
+from eventmill.plans.load import DayRows, load_days, load_gated  # noqa: E402
 from eventmill.session import build_session  # noqa: E402
 from harness import feed  # noqa: E402
 from harness.queries import registry  # noqa: E402
@@ -121,6 +121,9 @@ def main() -> None:
     events = gate.counts[DAY].total
     counted = {DAY: DayRows(events, gate.counts[DAY].in_day)}
     timed("day_load", lambda: load_days(spark, raw_dir, [DAY], counted=counted))
+    # The same gate and load in one pass, as a daily run does them.
+    verdict, loaded = timed("day_gated_load", lambda: load_gated(spark, raw_dir, [DAY]))
+    assert verdict.counts == gate.counts and loaded.rows_written == events
     built = timed("day_marts", lambda: pipeline.refresh_models(spark, days=[DAY]))
     tests = timed("day_tests", lambda: run_model_tests(built).collect())
     by_day = timed("day_tests_by_day", lambda: pipeline.refresh_tests(spark, built, days=[DAY]).collect())
