@@ -1,7 +1,7 @@
 """Exact deduplication against a persistent digest index.
 
 The index is a table of one row per distinct text, bucketed and sorted by the text's SHA-256. New documents are reduced to one row
-per digest, anti-joined with the index by a sort-merge join that reads the index without a shuffle, and what is new is appended.
+per digest and joined with the index once, by a sort-merge join that reads the index without a shuffle; what is new is appended.
 
 Texts are equal when identical after lower-casing A-Z; a null text counts as empty. Within one batch the largest doc_id of equal
 texts stays; a text that the index already holds keeps the document that entered it first. Null ids sort below all others, and
@@ -39,7 +39,7 @@ class DigestIndex:
         """An empty index fit for so many digests, unless it exists. The number of buckets stays; a much larger corpus needs a new index."""
         if not self.spark.catalog.tableExists(self.table):
             wanted = max(self.buckets, 1 << max(0, -(-rows // ROWS_A_BUCKET) - 1).bit_length())
-            self._write(self.spark.createDataFrame([], "digest binary, keep_id long"), wanted)
+            self.spark.sql(f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, keep_id BIGINT) USING parquet CLUSTERED BY (digest) SORTED BY (digest) INTO {wanted} BUCKETS")
 
     def _write(self, rows: DataFrame, buckets: int) -> None:
         rows.write.format("parquet").bucketBy(buckets, "digest").sortBy("digest").mode("append").saveAsTable(self.table)
@@ -57,9 +57,12 @@ class DigestIndex:
         rows = T.written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest(F.col("text")).alias("digest")), "digests")
         batch = T.written(rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "batch")
         self.create(batch.count())
-        self.append(T.written(batch.join(self.read().select("digest").hint("merge"), "digest", "left_anti"), "fresh"))
-        known = self.spark.read.table(self.table).select("digest", "keep_id")
-        return rows, T.written(batch.drop("keep_id").join(known.hint("merge"), "digest"), "classes")
+        held = self.read().select("digest", F.col("keep_id").alias("first_id"), F.lit(True).alias("known"))
+        entered = F.when(F.col("known"), F.col("first_id")).otherwise(F.col("keep_id")).alias("keep_id")
+        fresh = F.col("known").isNull().alias("fresh")
+        classes = T.written(batch.join(held.hint("merge"), "digest", "left").select("digest", entered, "group_size", fresh), "classes")
+        self.append(classes.where("fresh"))
+        return rows, classes.drop("fresh")
 
 
 def verdicts(index: DigestIndex, docs: DataFrame) -> DataFrame:
